@@ -24,8 +24,18 @@ from pyspark.sql import functions as F
 BROADCAST_ROW_LIMIT = 4_000_000
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def by_user(df: DataFrame) -> DataFrame:
-    return df.repartition("userId")
+    """Hash-partition by user into the session's shuffle-partition count.
+
+    The count is fixed on purpose: the rating rows are small, but each one fans out into
+    ~K scored rows downstream, so the partition count must not be shrunk to fit the
+    input size (a fixed count is not coalesced by AQE).
+    """
+    return df.repartition(shuffle_partitions(df), "userId")
 
 
 def fits_broadcast(n_rows: int, limit: int = BROADCAST_ROW_LIMIT) -> bool:
