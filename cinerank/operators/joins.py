@@ -38,8 +38,8 @@ def by_user(df: DataFrame) -> DataFrame:
     return df.repartition(shuffle_partitions(df), "userId")
 
 
-def fits_broadcast(n_rows: int, limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    return n_rows <= limit
+def fits_broadcast(n_rows: int, limit: int | None = None) -> bool:
+    return n_rows <= (BROADCAST_ROW_LIMIT if limit is None else limit)
 
 
 def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:

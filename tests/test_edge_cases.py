@@ -1,0 +1,137 @@
+"""Hand-computed cases for single operators."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from cinerank.functions.genres import NO_GENRES
+from cinerank.functions.vectors import dense_cosine
+from cinerank.operators.content import ContentModel, content_based_recommendations, item_signatures
+from cinerank.operators.hybrid import hybrid_recommendations, weight_scale
+from cinerank.operators.item_based import item_based_recommendations, item_based_scores
+from cinerank.operators.neighbors import item_neighbors, pair_similarities
+from cinerank.operators.random_rec import random_recommendations
+from cinerank.operators.report import report_lines
+
+
+def test_sparse_cosine(frames):
+    # {u1: 1, u2: 2} and {u2: 2, u3: 1}: 4 / (sqrt 5 * sqrt 5) = 0.8
+    r, _ = frames([(1, 10, 1.0, 0), (2, 10, 2.0, 0), (2, 11, 2.0, 0), (3, 11, 1.0, 0)])
+    sims = {(x.i, x.j): x.sim_micro for x in pair_similarities(r).collect()}
+    assert sims[(10, 11)] == 800000
+    assert sims[(10, 10)] == 1000000
+
+
+def test_disjoint_raters_have_no_pair(frames):
+    r, _ = frames([(1, 10, 1.0, 0), (2, 11, 2.0, 0)])
+    assert {(x.i, x.j) for x in pair_similarities(r).collect()} == {(10, 10), (11, 11)}
+
+
+def test_self_is_the_only_neighbour_with_k_1(frames):
+    r, c = frames([(1, 10, 4.0, 0), (1, 11, 2.0, 0), (2, 10, 1.0, 0), (2, 12, 5.0, 0)],
+                  [(10, "a", "A"), (11, "b", "A"), (12, "c", "A")])
+    nb = item_neighbors(r, c, k=1).collect()
+    assert all(x.movieId == x.neighborId for x in nb)
+    recs = item_based_recommendations(r, c, n=5, k=1).collect()
+    assert recs and all(x.score == 0.0 for x in recs)
+
+
+def test_weighted_mean(frames):
+    # item 1's neighbours 2 (sim .8) and 3 (sim .4); the user rated them 5 and 2
+    nb = frames([], None)[0].sparkSession.createDataFrame(
+        [(1, 2, 800000), (1, 3, 400000)], "movieId long, neighborId long, sim_micro long")
+    r, _ = frames([(7, 2, 5.0, 0), (7, 3, 2.0, 0)])
+    got = item_based_scores(r, nb).collect()
+    assert [(x.userId, x.movieId, x.score_micro) for x in got] == [(7, 1, 4000000)]
+
+
+def test_neighbour_outside_catalog_is_used_but_never_recommended(frames):
+    r, c = frames([(1, 10, 5.0, 0), (1, 99, 4.0, 0), (2, 99, 4.0, 0), (2, 11, 3.0, 0), (3, 10, 2.0, 0)],
+                  [(10, "a", "A"), (11, "b", "B")])
+    recs = item_based_recommendations(r, c, n=5, k=5).collect()
+    assert 99 not in {x.movieId for x in recs}
+    assert {(x.userId, x.movieId) for x in recs} == {(1, 11), (2, 10), (3, 11)}
+    assert [x.score for x in recs if (x.userId, x.movieId) == (2, 10)][0] > 0
+
+
+def test_unknown_genre_fails_or_is_skipped(frames):
+    _, c = frames([], [(1, "a", "A|Space")])
+    with pytest.raises(Exception):
+        item_signatures(c, ("A",), "error").collect()
+    row = item_signatures(c, ("A",), "ignore").collect()[0]
+    assert row.sig == "A" and row.g2 == 1
+
+
+def test_genre_less_item_not_in_profile_and_not_recommended_by_content(frames):
+    r, c = frames([(1, 10, 5.0, 3), (1, 11, 4.0, 2), (2, 12, 4.0, 1)],
+                  [(10, "a", NO_GENRES), (11, "b", "A"), (12, "c", "A|B"), (13, "d", NO_GENRES)])
+    m = ContentModel(r, c, ("A", "B"))
+    assert {(x.userId, x.genre) for x in m.profile.collect()} == {(1, "A"), (2, "A"), (2, "B")}
+    recs = content_based_recommendations(r, c, vocabulary=("A", "B")).collect()
+    assert {x.movieId for x in recs} <= {11, 12}
+
+
+def test_zero_profile_scores_zero(frames):
+    # the latest liked ratings are all on items missing from the catalog
+    r, c = frames([(1, 90 + t, 5.0, t) for t in range(5)] + [(1, 10, 5.0, -1)],
+                  [(10, "a", "A"), (11, "b", "A"), (12, "c", "B")])
+    recs = content_based_recommendations(r, c, vocabulary=("A", "B")).collect()
+    assert sorted((x.movieId, x.score) for x in recs) == [(11, 0.0), (12, 0.0)]
+
+
+def test_hybrid_blend_cases():
+    assert weight_scale((0.6, 0.4)) == (6, 4, 10)
+    wi, wc, scale = weight_scale((0.6, 0.4))
+    blend = lambda i, c: (wi * i + wc * c) / scale
+    assert blend(4.0, 5.0) == pytest.approx(4.4)
+    assert blend(4.0, 0.0) == pytest.approx(2.4)
+    assert blend(0.0, 5.0) == pytest.approx(2.0)
+    with pytest.raises(ValueError):
+        weight_scale((1.5, 0.4))
+
+
+def test_hybrid_users_need_a_profile(frames):
+    r, c = frames([(1, 10, 5.0, 0), (1, 11, 4.0, 0), (2, 10, 1.0, 0), (2, 11, 2.0, 0), (3, 12, 5.0, 0),
+                   (3, 10, 4.0, 0)],
+                  [(10, "a", "A"), (11, "b", "B"), (12, "c", "A|B")])
+    users = {x.userId for x in hybrid_recommendations(r, c, vocabulary=("A", "B")).collect()}
+    assert 2 not in users  # user 2 has no rating of 3 or more
+
+
+def test_random_all_unseen_when_fewer_than_n_and_seeded(frames):
+    r, c = frames([(1, 1, 4.0, 0), (1, 2, 4.0, 0), (2, 1, 3.0, 0)],
+                  [(1, "a", "A"), (2, "b", "A"), (3, "c", "A"), (4, "d", "A")])
+    a = sorted(tuple(x) for x in random_recommendations(r, c, n=5, seed=3).collect())
+    b = sorted(tuple(x) for x in random_recommendations(r, c, n=5, seed=3).collect())
+    assert a == b
+    assert {(x[0], x[2]) for x in a} == {(1, 3), (1, 4), (2, 2), (2, 3), (2, 4)}
+    assert all(1.0 <= x[4] < 5.0 for x in a)
+
+
+def test_all_seen_gives_no_rows(frames):
+    r, c = frames([(1, 1, 4.0, 0), (1, 2, 4.0, 0)], [(1, "a", "A"), (2, "b", "A")])
+    assert random_recommendations(r, c).count() == 0
+    assert item_based_recommendations(r, c).count() == 0
+
+
+def test_duplicate_titles_kept_apart(frames):
+    r, c = frames([(1, 1, 4.0, 0), (2, 2, 4.0, 0), (2, 3, 5.0, 0), (1, 3, 5.0, 0)],
+                  [(1, "same", "A"), (2, "same", "A"), (3, "x", "A")])
+    recs = item_based_recommendations(r, c).collect()
+    assert {(x.userId, x.movieId) for x in recs} == {(1, 2), (2, 1)}
+
+
+def test_report_format(spark):
+    recs = spark.createDataFrame([(1, 1, "A", 4.5), (1, 2, "B", 4.0)], "userId long, rnk int, title string, score double")
+    users = spark.createDataFrame([(1,)], "userId long")
+    lines = sorted((x.line_no, x.value) for x in report_lines("Title", recs, users, 5, 5).collect())
+    assert lines == [(0, "Title"), (1, "User: 1 -> \t1)'A' score: 4.5/5;\t2)'B' score: 4.0/5"), (2, "")]
+
+
+def test_dense_cosine(spark):
+    df = spark.createDataFrame([([3.0, 4.0], [3.0, 4.0]), ([1.0, 0.0], [0.0, 1.0]), ([0.0, 0.0], [1.0, 1.0])],
+                               "a array<double>, b array<double>")
+    got = [x.c for x in df.select(dense_cosine("a", "b").alias("c")).collect()]
+    assert got == [1.0, 0.0, 0.0]
+    bad = spark.createDataFrame([([1.0], [1.0, 2.0])], "a array<double>, b array<double>")
+    with pytest.raises(Exception):
+        bad.select(dense_cosine("a", "b")).collect()
