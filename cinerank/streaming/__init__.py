@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The recommender this package re-expresses reads two static tables and has no streams,
+watermarks, event-time windows or state; ``timestamp`` is only a sort key.  No streaming
+operator is built, so that nothing is added beyond the reference's behaviour.
+"""
