@@ -81,8 +81,25 @@ def preparation_steps(ratings: DataFrame) -> list[tuple[str, DataFrame, DataFram
     return [("movieId", clean, by_item), ("userId", by_item, by_user), ("high_rating", by_user, high)]
 
 
-def prepare_ratings(ratings: DataFrame) -> DataFrame:
-    return preparation_steps(ratings)[-1][2]
+def prepare_ratings(ratings: DataFrame, cut_input: bool = False) -> DataFrame:
+    """The three cuts with two passes over the item-cut table: one aggregation per user
+    gives both the activity count and the has-a-4-or-5 flag (the user cut removes whole
+    users, so the flag is the same before and after it), one semi join applies both.
+
+    The input is read three times (item counts, user stats, final rows); with
+    ``cut_input`` the cleaned input is first written under the checkpoint folder, so an
+    expensive source (CSV parse, a join) is evaluated once.
+    """
+    clean = drop_incomplete(ratings)
+    if cut_input:
+        from cinerank.session import materialize
+        clean = materialize(clean, "ratings")
+    by_item = remove_low_activity(clean, "movieId")
+    high = F.max(F.when(truncated("rating").isin(*HIGH_RATINGS), 1).otherwise(0))
+    stats = by_item.groupBy("userId").agg(F.count(F.lit(1)).alias("cnt"), high.alias("high"))
+    keep = (stats.join(F.broadcast(surviving_counts(stats.select("userId", "cnt"))), "cnt")
+            .where(F.col("high") == 1).select("userId"))
+    return by_item.join(keep, "userId", "left_semi")
 
 
 def _step_key(step: str) -> str:

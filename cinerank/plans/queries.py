@@ -33,7 +33,7 @@ def _recommender(spark: SparkSession, sf_dir: str) -> Recommender:
 
 
 def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(prep.prepare_ratings(ratings_view(spark, sf_dir)), "prepared")
+    return materialize(prep.prepare_ratings(ratings_view(spark, sf_dir), cut_input=True), "prepared")
 
 
 def q_ratings_view(spark, sf_dir):
@@ -68,7 +68,7 @@ def q_high_rating_filter(spark, sf_dir):
 
 
 def q_prepared_ratings(spark, sf_dir):
-    return prep.prepare_ratings(ratings_view(spark, sf_dir))
+    return prep.prepare_ratings(ratings_view(spark, sf_dir), cut_input=True)
 
 
 def q_prep_audit(spark, sf_dir):
