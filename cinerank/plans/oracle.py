@@ -153,16 +153,33 @@ CONTENT_OUT = _titled("content_top", "CAST(t.c AS DOUBLE) / 1e6")
 HYBRID_OUT = _titled("hybrid_top", "CAST(t.h AS DOUBLE) / 1e6")
 RANDOM_OUT = _titled("random_top", "t.score")
 
-REPORT = f"""
-first_u AS (SELECT userId, CAST(row_number() OVER (ORDER BY userId) AS INTEGER) AS line_no
-            FROM users QUALIFY line_no <= {M}),
-items_txt AS (SELECT t.userId, t.rnk,
+def _report_cte(tag: str, top: str, users: str, score: str) -> str:
+    """CTEs ``{tag}_first``, ``{tag}_lines`` for one method's report section."""
+    return f"""
+{tag}_first AS (SELECT userId, CAST(row_number() OVER (ORDER BY userId) AS INTEGER) AS line_no
+            FROM {users} QUALIFY line_no <= {M}),
+{tag}_txt AS (SELECT t.userId, t.rnk,
                      chr(9) || CAST(t.rnk AS VARCHAR) || ')''' || c.title || ''' score: '
-                     || CAST(CAST(t.s AS DOUBLE) / 1e6 AS VARCHAR) || '/5' AS txt
-              FROM item_top t LEFT JOIN catalog c USING (movieId)),
-lines AS (SELECT f.line_no, 'User: ' || CAST(f.userId AS VARCHAR) || ' -> '
+                     || CAST({score} AS VARCHAR) || '/5' AS txt
+              FROM {top} t LEFT JOIN catalog c USING (movieId)),
+{tag}_lines AS (SELECT f.line_no, 'User: ' || CAST(f.userId AS VARCHAR) || ' -> '
                  || coalesce(string_agg(i.txt, ';' ORDER BY i.rnk), '') AS value
-          FROM first_u f LEFT JOIN items_txt i USING (userId) GROUP BY f.line_no, f.userId)"""
+          FROM {tag}_first f LEFT JOIN {tag}_txt i USING (userId) GROUP BY f.line_no, f.userId)"""
+
+
+def _report_section(tag: str, title: str, offset: int) -> str:
+    return (f"SELECT {offset} AS line_no, '{title}' AS value "
+            f"UNION ALL SELECT line_no + {offset}, value FROM {tag}_lines "
+            f"UNION ALL SELECT CAST((SELECT count(*) FROM {tag}_first) + 1 + {offset} AS INTEGER), ''")
+
+
+REPORT = _report_cte("item", "item_top", "users", "CAST(t.s AS DOUBLE) / 1e6")
+REPORTS_ALL = ",".join([
+    _report_cte("rnd", "random_top", "users", "t.score"),
+    REPORT,
+    _report_cte("cnt", "content_top", "cusers", "CAST(t.c AS DOUBLE) / 1e6"),
+    _report_cte("hyb", "hybrid_top", "cusers", "CAST(t.h AS DOUBLE) / 1e6"),
+])
 
 
 def oracle_sql() -> dict[str, str]:
@@ -215,10 +232,17 @@ def oracle_sql() -> dict[str, str]:
         "content_topn": _with(b, p, CONTENT) + " " + CONTENT_OUT,
         "hybrid_topn": _with(b, p, NEIGH, ITEM, CONTENT, HYBRID) + " " + HYBRID_OUT,
         "random_topn": _with(b, p, RANDOM) + " " + RANDOM_OUT,
-        "report_first_users": _with(b, p, NEIGH, ITEM, REPORT) + """ SELECT 0 AS line_no,
-                 'Item-based Collaborative Filtering Recommender' AS value
-              UNION ALL SELECT line_no, value FROM lines
-              UNION ALL SELECT CAST((SELECT count(*) FROM first_u) + 1 AS INTEGER), ''""",
+        "report_first_users": _with(b, p, NEIGH, ITEM, REPORT) + " "
+        + _report_section("item", "Item-based Collaborative Filtering Recommender", 0),
+        "all_methods_report": _with(b, p, NEIGH, ITEM, CONTENT, HYBRID, RANDOM, REPORTS_ALL)
+        + " SELECT 0 AS line_no, 'DIFFERENT RECOMMENDER SYSTEMS RESULTS' AS value UNION ALL SELECT 1, '---'"
+        + " UNION ALL SELECT 2, '' UNION ALL "
+        + " UNION ALL ".join(_report_section(tag, title, 3 + s * (M + 2)) for s, (tag, title) in enumerate([
+            ("rnd", "Random Recommender"),
+            ("item", "New Item-based Collaborative Filtering Recommender"),
+            ("item", "Item-based Collaborative Filtering Recommender"),
+            ("cnt", "Content Based Recommender"),
+            ("hyb", "Hybrid Filtering Recommender")])),
         "all_methods_topn": _with(b, p, NEIGH, ITEM, CONTENT, HYBRID, RANDOM) + f"""
               SELECT 'random' AS method, * FROM ({RANDOM_OUT}) r
               UNION ALL SELECT 'item_based', * FROM ({ITEM_OUT}) i

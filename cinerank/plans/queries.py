@@ -161,6 +161,10 @@ def q_report_first_users(spark, sf_dir):
     return _recommender(spark, sf_dir).report("item_based", N, M)
 
 
+def q_all_methods_report(spark, sf_dir):
+    return _recommender(spark, sf_dir).full_report(N, M)
+
+
 def q_all_methods_topn(spark, sf_dir):
     rec = _recommender(spark, sf_dir)
     out = None
@@ -196,4 +200,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "random_topn": q_random_topn,
     "report_first_users": q_report_first_users,
     "all_methods_topn": q_all_methods_topn,
+    "all_methods_report": q_all_methods_report,
 }
