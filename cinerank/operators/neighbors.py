@@ -53,6 +53,11 @@ def pair_dots(ratings: DataFrame, block_size: int = DEFAULT_BLOCK) -> DataFrame:
     right = r.select("userId", F.col("blk").alias("bb"),
                      F.explode(F.sequence(F.lit(0), F.col("blk"))).alias("ba"),
                      F.col("movieId").alias("b"), F.col("rating").alias("rb"), F.col("n2").alias("n2b"))
+    # Fixed partition count on the join key: the inputs are small, the join output is
+    # ~n^2 per user, so the count must not be shrunk to the input size.
+    parts = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = left.repartition(parts, "userId", "ba", "bb")
+    right = right.repartition(parts, "userId", "ba", "bb")
     pairs = (left.join(right, ["userId", "ba", "bb"])
              .where((F.col("ba") < F.col("bb")) | (F.col("a") <= F.col("b"))))
     lo_first = F.col("a") <= F.col("b")
