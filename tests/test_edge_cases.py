@@ -1,7 +1,6 @@
 """Hand-computed cases for single operators."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from cinerank.functions.genres import NO_GENRES
 from cinerank.functions.vectors import dense_cosine
