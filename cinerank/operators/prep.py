@@ -72,12 +72,22 @@ def keep_users_with_high_rating(ratings: DataFrame) -> DataFrame:
     return ratings.join(users_with_high_rating(ratings), "userId", "left_semi")
 
 
-def preparation_steps(ratings: DataFrame) -> list[tuple[str, DataFrame, DataFrame]]:
-    """``(step, before, after)`` for the three cuts, in order."""
-    clean = drop_incomplete(ratings)
-    by_item = remove_low_activity(clean, "movieId")
-    by_user = remove_low_activity(by_item, "userId")
-    high = keep_users_with_high_rating(by_user)
+def preparation_steps(ratings: DataFrame, cut: bool = False) -> list[tuple[str, DataFrame, DataFrame]]:
+    """``(step, before, after)`` for the three cuts, in order.
+
+    With ``cut`` every intermediate table is written under the checkpoint folder, so the
+    audit's several counts per table read files instead of replaying the chain.
+    """
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        if not cut:
+            return df
+        from cinerank.session import materialize
+        return materialize(df, name)
+
+    clean = keep(drop_incomplete(ratings), "audit_clean")
+    by_item = keep(remove_low_activity(clean, "movieId"), "audit_items")
+    by_user = keep(remove_low_activity(by_item, "userId"), "audit_users")
+    high = keep(keep_users_with_high_rating(by_user), "audit_high")
     return [("movieId", clean, by_item), ("userId", by_item, by_user), ("high_rating", by_user, high)]
 
 
@@ -106,11 +116,11 @@ def _step_key(step: str) -> str:
     return "movieId" if step == "movieId" else "userId"
 
 
-def preparation_audit(ratings: DataFrame) -> DataFrame:
+def preparation_audit(ratings: DataFrame, cut: bool = True) -> DataFrame:
     """``step, threshold, rows_before, rows_after, n_removed`` (threshold NULL for the
     high-rating step; n_removed counts distinct removed keys)."""
     parts = []
-    for step, before, after in preparation_steps(ratings):
+    for step, before, after in preparation_steps(ratings, cut):
         key = _step_key(step)
         if step == "high_rating":
             thr = F.lit(None).cast("long")
@@ -133,10 +143,10 @@ def removed_keys_of(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     return before.select(key).distinct().join(after.select(key).distinct(), key, "left_anti")
 
 
-def removed_keys(ratings: DataFrame) -> DataFrame:
+def removed_keys(ratings: DataFrame, cut: bool = True) -> DataFrame:
     """``step, removed_key`` for every key removed by each cut."""
     out = None
-    for step, before, after in preparation_steps(ratings):
+    for step, before, after in preparation_steps(ratings, cut):
         key = _step_key(step)
         part = removed_keys_of(before, after, key).select(
             F.lit(step).alias("step"), F.col(key).alias("removed_key"))

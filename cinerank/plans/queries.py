@@ -44,8 +44,13 @@ def q_catalog_genres(spark, sf_dir):
     return item_genres(item_signatures(catalog_view(spark, sf_dir), TEST_VIEW_GENRES, "error"))
 
 
+def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned rating view, written once: the cuts read it several times."""
+    return materialize(prep.drop_incomplete(ratings_view(spark, sf_dir)), "ratings")
+
+
 def q_activity_threshold(spark, sf_dir):
-    clean = prep.drop_incomplete(ratings_view(spark, sf_dir))
+    clean = _clean(spark, sf_dir)
     by_item = prep.remove_low_activity(clean, "movieId")
     items = prep.quartile_threshold(prep.key_counts(clean, "movieId")).select(
         F.lit("movieId").alias("key_kind"), "n_keys", "threshold")
@@ -55,7 +60,7 @@ def q_activity_threshold(spark, sf_dir):
 
 
 def q_filter_low_activity_items(spark, sf_dir):
-    return prep.remove_low_activity(prep.drop_incomplete(ratings_view(spark, sf_dir)), "movieId")
+    return prep.remove_low_activity(_clean(spark, sf_dir), "movieId")
 
 
 def q_filter_low_activity_users(spark, sf_dir):
@@ -64,7 +69,7 @@ def q_filter_low_activity_users(spark, sf_dir):
 
 def q_high_rating_filter(spark, sf_dir):
     """The must-have-a-4-or-5 cut applied to the whole (unprepared) rating view."""
-    return prep.keep_users_with_high_rating(prep.drop_incomplete(ratings_view(spark, sf_dir)))
+    return prep.keep_users_with_high_rating(_clean(spark, sf_dir))
 
 
 def q_prepared_ratings(spark, sf_dir):
