@@ -27,6 +27,17 @@ def drop_incomplete(ratings: DataFrame) -> DataFrame:
     return ratings.na.drop()
 
 
+def dedup_ratings(ratings: DataFrame) -> DataFrame:
+    """One row per (userId, movieId): the latest ``ts`` wins, then the higher rating.
+
+    The methods assume unique (user, item) pairs; this makes them so.  A hash aggregate
+    over a struct maximum, so duplicates are merged map-side before the shuffle.
+    """
+    latest = F.max(F.struct(F.col("ts"), F.col("rating"))).alias("latest")
+    return (ratings.groupBy("userId", "movieId").agg(latest)
+            .select("userId", "movieId", F.col("latest.rating").alias("rating"), F.col("latest.ts").alias("ts")))
+
+
 def key_counts(ratings: DataFrame, key: str) -> DataFrame:
     return ratings.groupBy(key).agg(F.count(F.lit(1)).alias("cnt"))
 

@@ -69,3 +69,8 @@ def test_audit_and_removed_keys(frames):
     assert {(x.step, x.removed_key) for x in removed if x.step == "movieId"} == \
         {("movieId", m) for m in range(1, 9) if not m > sorted(range(3, 11))[8 // 4] - 2}
     assert not math.isnan(audit["userId"].threshold)
+
+
+def test_dedup_keeps_latest(frames):
+    r, _ = frames([(1, 1, 2.0, 5), (1, 1, 4.0, 9), (1, 2, 3.0, 1), (2, 1, 1.0, 3), (2, 1, 5.0, 3)])
+    assert rows_of(prep.dedup_ratings(r)) == [(1, 1, 4.0, 9), (1, 2, 3.0, 1), (2, 1, 5.0, 3)]
