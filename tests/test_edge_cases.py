@@ -134,3 +134,11 @@ def test_dense_cosine(spark):
     bad = spark.createDataFrame([([1.0], [1.0, 2.0])], "a array<double>, b array<double>")
     with pytest.raises(Exception):
         bad.select(dense_cosine("a", "b")).collect()
+
+
+def test_nested_view(spark):
+    from cinerank.operators.rank import nested_view
+    recs = spark.createDataFrame([(1, 2, 5, "B", 4.0), (1, 1, 4, "A", 4.5), (2, 1, 4, "A", 3.0)],
+                                 "userId long, rnk int, movieId long, title string, score double")
+    got = {r.userId: [(x.title, x.score) for x in r.recommendations] for r in nested_view(recs).collect()}
+    assert got == {1: [("A", 4.5), ("B", 4.0)], 2: [("A", 3.0)]}
