@@ -16,7 +16,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from cinerank.plans.queries import QUERIES  # noqa: E402
-from cinerank.session import build_session  # noqa: E402
+from cinerank.session import build_session, cleanup  # noqa: E402
 
 HEADLINE = (
     "prepared_ratings",
@@ -44,6 +44,7 @@ def main() -> None:
     sf = float(m.group(1)) if m else sf_dir
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": sf}))
+    cleanup(spark)
     spark.stop()
 
 

@@ -47,6 +47,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+# Tables written by `materialize`, per application, for `cleanup`.
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
@@ -56,4 +60,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/cinerank/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
+
+
+def cleanup(spark: SparkSession) -> int:
+    """Delete the tables this application wrote with ``materialize``; returns how many.
+
+    Call it once the results built on them have been written or collected.
+    """
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        jpath = jvm.org.apache.hadoop.fs.Path(p)
+        jpath.getFileSystem(conf).delete(jpath, True)
+    return len(paths)

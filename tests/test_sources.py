@@ -44,3 +44,13 @@ def test_sinks_and_run_all(spark, frames):
     parts = [p for p in glob.glob(f"{d}/report/part-*") if os.path.getsize(p) > 0]
     assert len(parts) == 1
     assert open(parts[0]).read().splitlines() == ["t", "a", "b"]
+
+
+def test_cleanup_removes_written_tables(spark):
+    from cinerank.session import cleanup, materialize
+    cleanup(spark)
+    df = materialize(spark.range(5), "probe")
+    path = df.inputFiles()[0].rsplit("/", 1)[0].replace("file:", "")
+    assert os.path.isdir(path)
+    assert cleanup(spark) == 1
+    assert not os.path.exists(path)
