@@ -44,8 +44,10 @@ def main() -> None:
     sf = float(m.group(1)) if m else sf_dir
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": sf}))
-    cleanup(spark)
-    spark.stop()
+    try:
+        cleanup(spark)
+    finally:
+        spark.stop()
 
 
 if __name__ == "__main__":
