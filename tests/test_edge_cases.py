@@ -142,3 +142,9 @@ def test_nested_view(spark):
                                  "userId long, rnk int, movieId long, title string, score double")
     got = {r.userId: [(x.title, x.score) for x in r.recommendations] for r in nested_view(recs).collect()}
     assert got == {1: [("A", 4.5), ("B", 4.0)], 2: [("A", 3.0)]}
+
+
+def test_empty_ratings_give_empty_results(frames):
+    from cinerank.plans.pipeline import run_all
+    r, c = frames([], [(1, "a", "A"), (2, "b", "B")])
+    assert run_all(r, c, vocabulary=("A", "B")).count() == 0
