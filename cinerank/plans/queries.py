@@ -109,7 +109,7 @@ def q_dense_cosine(spark, sf_dir):
     prof = (c.profile.groupBy("userId")
             .agg(F.map_from_entries(F.collect_list(F.struct("genre", "weight"))).alias("w")))
     prof = prof.select("userId", F.transform(F.array(*[F.lit(g) for g in vocab]),
-                                             lambda g: F.coalesce(F.element_at("w", g), F.lit(0.0))).alias("pvec"))
+                                             lambda g: F.coalesce(F.try_element_at("w", g), F.lit(0.0))).alias("pvec"))
     items = c.item_sigs.select("movieId", multi_hot("genres_arr", vocab).alias("gvec"))
     top = rec.top_n("content", N).select("userId", "movieId")
     pairs = top.join(prof, "userId").join(items, "movieId")
