@@ -2,7 +2,8 @@
 
 Ratings ``(userId, movieId, rating, ts)`` and a catalog ``(movieId, title, genres)`` go in;
 ranked ``(userId, rnk, movieId, title, score)`` rows come out.  Every method is a plan of
-joins, aggregates and windows; nothing is collected to the driver.
+joins, aggregates and windows; the driver only receives scalar counts for
+broadcast size checks, never data.
 """
 
 from cinerank.operators.prep import prepare_ratings, remove_low_activity, keep_users_with_high_rating
