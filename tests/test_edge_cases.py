@@ -148,3 +148,10 @@ def test_empty_ratings_give_empty_results(frames):
     from cinerank.plans.pipeline import run_all
     r, c = frames([], [(1, "a", "A"), (2, "b", "B")])
     assert run_all(r, c, vocabulary=("A", "B")).count() == 0
+
+
+def test_report_user_without_items(spark):
+    recs = spark.createDataFrame([(2, 1, "A", 3.0)], "userId long, rnk int, title string, score double")
+    users = spark.createDataFrame([(1,), (2,), (3,)], "userId long")
+    lines = sorted((x.line_no, x.value) for x in report_lines("T", recs, users, 5, 2).collect())
+    assert lines == [(0, "T"), (1, "User: 1 -> "), (2, "User: 2 -> \t1)'A' score: 3.0/5"), (3, "")]
