@@ -27,9 +27,9 @@ M = 5
 K = 100
 
 
-def _recommender(spark: SparkSession, sf_dir: str) -> Recommender:
+def _recommender(spark: SparkSession, sf_dir: str, share_item_scores: bool = False) -> Recommender:
     return Recommender(ratings_view(spark, sf_dir), catalog_view(spark, sf_dir), k=K,
-                       vocabulary=TEST_VIEW_GENRES, on_unknown="error")
+                       vocabulary=TEST_VIEW_GENRES, on_unknown="error", share_item_scores=share_item_scores)
 
 
 def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,7 +171,7 @@ def q_all_methods_report(spark, sf_dir):
 
 
 def q_all_methods_topn(spark, sf_dir):
-    rec = _recommender(spark, sf_dir)
+    rec = _recommender(spark, sf_dir, share_item_scores=True)
     out = None
     for m in METHODS:
         part = rec.top_n(m, N).select(F.lit(m).alias("method"), "*")
