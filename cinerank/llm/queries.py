@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.llm import decontaminate
+from cinerank.llm import decontaminate, licenses
 from cinerank.sources.testdata import load_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,8 +52,21 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN n_hits ON d.doc_id = n_hits.doc_id LEFT JOIN ids ON d.doc_id = ids.doc_id
 """
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+    named = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), ",")
+    return rows.select(
+        "doc_id", "n_words", F.size("base_starts").cast("long").alias("n_base"),
+        F.array_min("base_starts").alias("first_word"), F.array_max("base_starts").alias("last_word"),
+        named(F.col("base_labels")).alias("base_labels"),
+        named(F.concat("base_labels", "match_labels")).alias("labels"),
+        F.when(F.size("base_starts") > 0, F.lit(1.0))
+        .otherwise(F.coalesce(F.array_max("match_scores"), F.lit(0.0))).alias("score"))
+
+
 QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
+    "op1_license_scan": op1_license_scan,
 }
 
 ORACLE: dict[str, str] = {
