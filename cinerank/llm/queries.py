@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.llm import decontaminate, licenses
+from cinerank.llm import decontaminate, licenses, lm
 from cinerank.sources.testdata import load_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,9 +64,15 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.coalesce(F.array_max("match_scores"), F.lit(0.0))).alias("score"))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op1_license_scan": op1_license_scan,
+    "op2_lm_score": op2_lm_score,
 }
 
 ORACLE: dict[str, str] = {
