@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.llm import decontaminate, licenses, lm
+from cinerank.llm import decontaminate, licenses, lm, near_dup
 from cinerank.sources.testdata import load_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,10 +69,16 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op1_license_scan": op1_license_scan,
     "op2_lm_score": op2_lm_score,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
 }
 
 ORACLE: dict[str, str] = {
