@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.llm import decontaminate, licenses, lm, near_dup
+from cinerank.llm import decontaminate, licenses, line_dedup, lm, near_dup
 from cinerank.sources.testdata import load_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,13 +74,44 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs)
+
+
+OP3_SQL = r"""
+WITH l AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text <> ''),
+u AS (
+  SELECT doc_id, i, part, concat(part, line) AS unit FROM l, (VALUES (1), (2)) AS p(part)
+  WHERE trim(line, ' ') <> '' AND (part = 1 OR length(line) >= 100)),
+w AS (
+  SELECT doc_id, i, unit, row_number() OVER o AS j, lead(unit) OVER o AS next_unit, lead(i) OVER o AS next_i
+  FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i, part)),
+later AS (
+  SELECT doc_id, i, next_i FROM w WHERE next_unit IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY unit, next_unit ORDER BY doc_id, j) > 1),
+gone AS (SELECT doc_id, i FROM later UNION SELECT doc_id, next_i FROM later),
+kept AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(gone.i) AS n_removed,
+         string_agg(line, chr(10) ORDER BY l.i) FILTER (WHERE gone.i IS NULL) AS text
+  FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.i = gone.i GROUP BY l.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text,
+       CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed
+FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op1_license_scan": op1_license_scan,
     "op2_lm_score": op2_lm_score,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op3_line_dedup": op3_line_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op9_decontamination": OP9_SQL,
+    "op3_line_dedup": OP3_SQL,
 }
