@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.llm import decontaminate, licenses, line_dedup, lm, near_dup
+from cinerank.llm import decontaminate, langid, licenses, line_dedup, lm, near_dup
 from cinerank.sources.testdata import load_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,12 +103,20 @@ FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+    model = langid.train(docs.filter(~held_out))
+    return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op1_license_scan": op1_license_scan,
     "op2_lm_score": op2_lm_score,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op3_line_dedup": op3_line_dedup,
+    "op6_language_id": op6_language_id,
 }
 
 ORACLE: dict[str, str] = {
