@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.llm import decontaminate, langid, licenses, line_dedup, lm, near_dup
+from cinerank.llm import decontaminate, langid, licenses, line_dedup, lm, near_dup, warc
 from cinerank.sources.testdata import load_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +110,24 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.round_trip(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    sound = F.when(~F.col("intact"), F.raise_error(F.lit("a payload differs from its digest")).cast("string"))
+    return rows.select("page_id", "payload_bytes", F.coalesce(sound, F.col("payload_digest")).alias("payload_digest"),
+                       "record_type", "refers_to")
+
+
+OP10_SQL = """
+WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+                  sha1(coalesce(html, '')) AS payload_digest FROM pages),
+w AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN last_id END AS refers_to
+FROM w
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op1_license_scan": op1_license_scan,
@@ -117,9 +135,11 @@ QUERIES: dict[str, Query] = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op6_language_id": op6_language_id,
+    "op10_warc_archive": op10_warc_archive,
 }
 
 ORACLE: dict[str, str] = {
     "op9_decontamination": OP9_SQL,
     "op3_line_dedup": OP3_SQL,
+    "op10_warc_archive": OP10_SQL,
 }
