@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from cinerank.llm.text import as_bytes, hash_words, mix, pack_sorted, unpack_sorted
 from cinerank.session import materialize
 
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 4 << 20
 CONTEXT_BUCKETS = 24
 BINS = 50  # histogram bins per decade
 FLOOR = -12.0  # log10 below which an estimate counts as zero
