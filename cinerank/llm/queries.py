@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.llm import decontaminate, langid, licenses, line_dedup, lm, near_dup, warc
+from cinerank.llm import ann, decontaminate, langid, licenses, line_dedup, lm, near_dup, warc
 from cinerank.sources.testdata import load_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,6 +128,10 @@ FROM w
 """
 
 
+def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op1_license_scan": op1_license_scan,
@@ -136,6 +140,7 @@ QUERIES: dict[str, Query] = {
     "op3_line_dedup": op3_line_dedup,
     "op6_language_id": op6_language_id,
     "op10_warc_archive": op10_warc_archive,
+    "op7_nearest_vectors": op7_nearest_vectors,
 }
 
 ORACLE: dict[str, str] = {
