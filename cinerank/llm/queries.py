@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.llm import ann, decontaminate, langid, licenses, line_dedup, lm, near_dup, warc
+from cinerank.llm import ann, decontaminate, langid, licenses, line_dedup, lm, near_dup, pieces, warc
 from cinerank.sources.testdata import load_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,6 +132,15 @@ def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.load()
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = pieces.decode(pieces.encode(docs, model), model)
+    same = F.col("decoded").eqNullSafe(F.replace("text", F.lit(pieces.BLANK), F.lit(" ")))
+    return rows.select("doc_id", F.when(F.col("text").isNotNull(), F.size("ids")).cast("long").alias("n_pieces"),
+                       "ids", same.alias("round_trip"))
+
+
 QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op1_license_scan": op1_license_scan,
@@ -141,6 +150,7 @@ QUERIES: dict[str, Query] = {
     "op6_language_id": op6_language_id,
     "op10_warc_archive": op10_warc_archive,
     "op7_nearest_vectors": op7_nearest_vectors,
+    "op8_sentencepiece": op8_sentencepiece,
 }
 
 ORACLE: dict[str, str] = {
