@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.llm import ann, decontaminate, langid, licenses, line_dedup, lm, near_dup, pieces, warc
+from cinerank.llm import ann, decontaminate, langid, licenses, line_dedup, lm, near_dup, pieces, quality, warc
 from cinerank.sources.testdata import load_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,6 +141,11 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "ids", same.alias("round_trip"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op1_license_scan": op1_license_scan,
@@ -151,6 +156,7 @@ QUERIES: dict[str, Query] = {
     "op10_warc_archive": op10_warc_archive,
     "op7_nearest_vectors": op7_nearest_vectors,
     "op8_sentencepiece": op8_sentencepiece,
+    "op4_quality_classifier": op4_quality_classifier,
 }
 
 ORACLE: dict[str, str] = {
