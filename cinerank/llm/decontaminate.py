@@ -219,6 +219,20 @@ def _scan(shared, window: int):
     return run
 
 
+def _tests(items: DataFrame, item_id: str, item_text: str, max_item_bytes: int) -> tuple[DataFrame, int]:
+    """(i, t) of the usable items, and in how many slices they are to be shared."""
+    tests = items.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).cast("string").alias("t")) \
+        .filter("i is not null and t is not null")
+    total = tests.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
+    return tests, max(1, math.ceil(total / max_item_bytes))
+
+
+def _share(tests: DataFrame):
+    """One slice of the items for every task; ``_tests`` bounds its bytes."""
+    own = tests.collect()
+    return tests.sparkSession.sparkContext.broadcast(([r.i for r in own], [r.t.encode() for r in own]))
+
+
 def contamination(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, one_in: int = 20,
                   max_item_bytes: int = 16 << 20) -> DataFrame:
@@ -231,20 +245,15 @@ def contamination(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
     repeated items count once per id; other columns are not read.  No documents or no items: no
     hits, and as many rows as documents.
     """
-    spark = docs.sparkSession
-    tests = items.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).cast("string").alias("t")) \
-        .filter("i is not null and t is not null")
-    total = tests.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
-    slices = max(1, math.ceil(total / max_item_bytes))
+    tests, slices = _tests(items, item_id, item_text, max_item_bytes)
     rows = docs.select(F.lit(0).cast("long").alias("k"), F.col(id_col).cast("long").alias("d"),
                        F.col(text_col).cast("string").alias("t"))
     if slices > 1:  # a row number that stays the same over the slices
         rows = materialize(rows.withColumn("k", F.monotonically_increasing_id()), "decontaminate-docs")
     found = None
     for s in range(slices):
-        own = tests.filter(F.pmod(F.xxhash64("i", "t"), F.lit(slices)) == s).collect()  # bounded by max_item_bytes
-        shared = spark.sparkContext.broadcast(([r.i for r in own], [r.t.encode() for r in own]))
-        part = rows.mapInArrow(_scan(shared, window), SCHEMA)
+        own = tests.filter(F.pmod(F.xxhash64("i", "t"), F.lit(slices)) == s)
+        part = rows.mapInArrow(_scan(_share(own), window), SCHEMA)
         found = part if found is None else found.unionByName(part)
     if slices > 1:
         found = _merge(found)
@@ -288,19 +297,61 @@ def items_digest(items: F.Column | str) -> F.Column:
     return F.sha2(F.array_join(F.array_sort(items), ","), 256)
 
 
-def remove_contaminated(docs: DataFrame, items: DataFrame, *, text_col: str = "text", **options) -> DataFrame:
+def _filter(shared, window: int, one_in: int, at: int):
+    """Passes on the rows whose text (column ``at``) is clean, shard by shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tests = TestSuffixes(*shared.value, window)
+
+        def clean(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            texts = [t for b in held for t in as_bytes(b.column(at))]
+            none = [None] * len(texts)
+            rows = _shard_rows(none, none, texts, tests)
+            n_words, n_hit = rows.column("n_words").to_numpy(), rows.column("n_hit").to_numpy()
+            good = (n_hit == 0) | (one_in * n_hit < n_words)
+            for b in held:
+                yield b.filter(pa.array(good[:b.num_rows]))
+                good = good[b.num_rows:]
+
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for whole in batches:
+            for k in range(0, whole.num_rows, 256):
+                b = whole.slice(k, 256)
+                held.append(b)
+                size += b.column(at).nbytes
+                if size > 6 * SHARD_WORDS:
+                    yield from clean(held)
+                    held, size = [], 0
+        if held:
+            yield from clean(held)
+
+    return run
+
+
+def remove_contaminated(docs: DataFrame, items: DataFrame, *, text_col: str = "text", item_id: str = "item_id",
+                        item_text: str = "text", window: int = WINDOW, one_in: int = 20,
+                        max_item_bytes: int = 16 << 20) -> DataFrame:
     """The rows of ``docs`` (all columns, whatever their names) whose text is not contaminated.
 
     Each row is judged by its own text, in place, so nulls and repeats in other columns do not
-    matter; see ``contamination`` for the rule and its edge cases.
+    matter; see ``contamination`` for the rule and its edge cases.  With a benchmark beyond
+    ``max_item_bytes`` rows get a number and meet the merged verdict of all slices.
     """
     names = docs.columns
-    keyed = materialize(docs.toDF(*[f"c{i}" for i in range(len(names))])
-                        .withColumn("row_key", F.monotonically_increasing_id()), "decontaminate-rows")
-    text = f"c{names.index(text_col)}"
-    bad = contamination(keyed, items, id_col="row_key", text_col=text, **options).filter("contaminated")
+    keys, at = [f"c{i}" for i in range(len(names))], names.index(text_col)
+    plain = docs.toDF(*keys)
+    plain = plain.withColumn(keys[at], F.col(keys[at]).cast("string"))
+    tests, slices = _tests(items, item_id, item_text, max_item_bytes)
+    if slices == 1:
+        shared = _share(tests)
+        schema = ", ".join(f"{n} {t}" for n, t in plain.dtypes)
+        return plain.mapInArrow(_filter(shared, window, one_in, at), schema).toDF(*names)
+    keyed = materialize(plain.withColumn("row_key", F.monotonically_increasing_id()), "decontaminate-rows")
+    bad = contamination(keyed, items, id_col="row_key", text_col=keys[at], item_id=item_id, item_text=item_text,
+                        window=window, one_in=one_in, max_item_bytes=max_item_bytes).filter("contaminated")
     kept = keyed.join(bad.select(F.col("doc_id").alias("row_key")), "row_key", "left_anti")
-    return kept.drop("row_key").toDF(*names)
+    return kept.select(*keys).toDF(*names)
 
 
 def sha256_of(ids: list[str]) -> str:

@@ -309,10 +309,16 @@ def remove_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     id_, text = F.col(f"c{names.index(id_col)}"), F.col(f"c{names.index(text_col)}")
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    stay = found.filter("kept and n_shingles > 0").select("doc_id", "text_key").distinct()
+    stay = materialize(found.filter("kept").groupBy("doc_id", "text_key")
+                       .agg(F.max("n_shingles").alias("n"), F.count(F.lit(1)).alias("times")), "near-dup-stay")
     keyed = plain.withColumn("__i", id_.cast("long")).withColumn("__k", F.xxhash64(text.cast("string")))
-    one = keyed.join(stay, keyed["__i"].eqNullSafe(stay["doc_id"]) & (keyed["__k"] == stay["text_key"])) \
-        .drop("doc_id", "text_key").dropDuplicates(["__i", "__k"])
-    empty = found.filter("n_shingles = 0").select("doc_id", "text_key").distinct()
-    rest = keyed.join(empty, keyed["__i"].eqNullSafe(empty["doc_id"]) & (keyed["__k"] == empty["text_key"]), "left_semi")
-    return one.unionByName(rest).drop("__i", "__k").toDF(*names)
+
+    def met(own: DataFrame) -> DataFrame:
+        return keyed.join(own, keyed["__i"].eqNullSafe(own["doc_id"]) & (keyed["__k"] == own["text_key"]), "left_semi")
+
+    again = stay.filter("n > 0 and times > 1")
+    if again.isEmpty():
+        out = met(stay)
+    else:
+        out = met(stay.filter("n = 0 or times = 1")).unionByName(met(again).dropDuplicates(["__i", "__k"]))
+    return out.drop("__i", "__k").toDF(*names)
