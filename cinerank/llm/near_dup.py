@@ -12,10 +12,12 @@ percent are linked; components of links are the duplicate groups.
    document meets up to ``bands`` different leaders): n - 1 candidate pairs, never all pairs.
    Size ratio and sketch drop most false candidates, the full shingle sets confirm the rest.
 4. A bucket whose members are not all in one component after that may hide links between
-   non-leaders.  It gets another leader among the members not yet led, and after
-   ``star_rounds`` what is left is compared completely, in bounded blocks (member hash by
-   member hash), so that no group is ever held whole by a task and no link is given up.
-5. Components: minimum label with pointer jumping over the confirmed links, on tables.
+   non-leaders.  What is left of such buckets is compared completely and exactly, in bounded
+   blocks (member hash by member hash; a product of shingle incidence matrices gives all
+   intersections of a block), so that no group is ever held whole by a task and no link is given
+   up; a block returns only the links that join its components.
+5. Components: minimum label with pointer jumping over the confirmed links, on tables; the
+   blocks' links join components of step 3 and are solved on those.
 
 A pair of similarity s shares a bucket with probability 1 - (1 - s^rows)^bands: 0.999993 at 0.8
 with the default 30 bands of 5 rows.
@@ -35,8 +37,9 @@ from cinerank.session import materialize
 
 BANDS, ROWS = 30, 5
 SKETCH_LONGS = 8
-STAR_ROUNDS = 3
-BLOCK = 64
+BLOCK = 512  # members of a block; blocks also hold BLOCK_SHINGLES shingles at most, but for one member
+BLOCK_SHINGLES = 600_000
+SMALL_ROWS = 1_000_000
 
 _rng = np.random.Generator(np.random.PCG64(5))
 _MULT = (_rng.integers(0, 1 << 31, 4096, dtype=np.uint32) * np.uint32(2) + np.uint32(1))
@@ -155,61 +158,107 @@ def _verify(k: int, threshold: int):
     return run
 
 
-def _block_pairs(limit: int):
-    """Pairs of different components within one block pair that pass the sketch."""
-    columns = [f"s{i}" for i in range(SKETCH_LONGS)]
+def _joins(sets: list[np.ndarray], root: np.ndarray, side: np.ndarray, threshold: int) -> list[tuple[int, int]]:
+    """Pairs of roots that confirmed links between the sides 0 and 1 (or within 0) join, a spanning set.
+
+    Every pair of two components has a member outside the block's largest component, so only those
+    are compared with all.
+    """
+    _, of_root = np.unique(root, return_inverse=True)
+    few = np.flatnonzero(of_root != np.bincount(of_root).argmax())
+    size = np.array([len(x) for x in sets])
+    of = np.repeat(np.arange(len(sets)), size)
+    _, slot, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[slot] > 1  # other shingles are in no intersection
+    number = np.cumsum(count > 1) - 1
+    of, slot = of[shared], number[slot[shared]]
+    common = np.zeros((len(few), len(sets)), dtype=np.float32)  # exact: counts are far below 2^24
+    order = np.argsort(slot, kind="stable")
+    of, slot = of[order], slot[order]
+    for a in range(0, int(slot[-1]) + 1 if len(slot) else 0, 4096):
+        lo, hi = np.searchsorted(slot, [a, a + 4096])
+        x = np.zeros((len(sets), 4096), dtype=np.float32)
+        x[of[lo:hi], slot[lo:hi] - a] = 1
+        common += x[few] @ x.T
+    union = size[few, None] + size[None, :] - common
+    linked = (100 * common.astype(np.float64) >= threshold * union) & (root[few, None] != root[None, :])
+    linked &= (side[few, None] != side[None, :]) | (side.max() == 0)
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = x = parent.get(parent[x], parent[x])
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(linked)):
+        x, y = int(root[few[i]]), int(root[j])
+        a, b = find(x), find(y)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            out.append((min(x, y), max(x, y)))
+    return out
+
+
+def _block_links(k: int, threshold: int):
+    """Joins of different components within one block pair of a bucket."""
 
     def run(t: pa.Table) -> pa.Table:
-        node = t.column("node").to_numpy()
-        root = t.column("root").to_numpy()
-        side = t.column("side").to_numpy()
-        size = t.column("n").to_numpy().astype(np.float64)
-        sketch = np.stack([t.column(c).to_numpy() for c in columns], 1).view(np.uint64)
-        s, o = t.column("s")[0].as_py(), t.column("t")[0].as_py()
-        left, right = np.flatnonzero(side == s), np.flatnonzero(side == o)
-        out_a, out_b = [], []
-        for i in left:
-            other = right if s != o else right[node[right] > node[i]]
-            other = other[root[other] != root[i]]
-            if len(other):
-                far = np.bitwise_count(sketch[other] ^ sketch[i]).sum(axis=1)
-                other = other[far <= limit]
-                out_a.append(np.minimum(node[i], node[other]))
-                out_b.append(np.maximum(node[i], node[other]))
-        a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
-        b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
-        del size
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        own = t.column("s")[0].as_py()
+        root, side = t.column("root").to_numpy(), (t.column("side").to_numpy() != own).astype(np.int8)
+        out = []
+        if (root != root[0]).any():
+            out = _joins(shingle_sets(as_bytes(t.column("text").combine_chunks()), k), root, side, threshold)
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
 
     return run
 
 
-def components(links: DataFrame, name: str = "near-dup") -> DataFrame:
+def components(links: DataFrame, name: str = "near-dup", small_rows: int = SMALL_ROWS) -> DataFrame:
     """(node, root) of every node of ``links`` (a, b); root is the component's smallest node.
 
     Minimum label over neighbours, then over the label's own label; every round is written as a
-    table, so lost executors only repeat one round.
+    table, so lost executors only repeat one round.  Up to ``small_rows`` links the labels (16
+    bytes each) are broadcast, beyond they are joined by shuffles; the result is the same.
     """
     both = links.select(F.col("a").alias("node"), F.col("b").alias("other")) \
         .unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("other"))).distinct()
     both = materialize(both, f"{name}-links")
+    n = both.count()
+    near_all = F.broadcast if n <= small_rows else lambda df: df
+    files = max(1, n // 250_000)
     label = materialize(both.groupBy("node").agg(F.min("other").alias("m"))
-                        .select("node", F.least("node", "m").alias("root")), f"{name}-label")
+                        .select("node", F.least("node", "m").alias("root")).coalesce(files) if n <= small_rows else
+                        both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("root")),
+                        f"{name}-label")
     while True:
-        near = both.join(label.select(F.col("node").alias("other"), "root"), "other") \
+        near = both.join(near_all(label.select(F.col("node").alias("other"), "root")), "other") \
             .groupBy("node").agg(F.min("root").alias("near"))
-        step = label.join(near, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
-        jump = step.join(label.select(F.col("node").alias("root"), F.col("root").alias("far")), "root") \
+        step = near.join(near_all(label), "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
+        jump = step.join(near_all(label.select(F.col("node").alias("root"), F.col("root").alias("far"))), "root") \
             .select("node", "old", F.least("root", "far").alias("root"))
-        moved = materialize(jump, f"{name}-label")
+        moved = materialize(jump.coalesce(files) if n <= small_rows else jump, f"{name}-label")
         if moved.filter("root <> old").isEmpty():
             return moved.select("node", "root")
         label = moved.select("node", "root")
 
 
+def _compare(active: DataFrame, texts: DataFrame, shingle: int, threshold: int, block: int) -> DataFrame:
+    """Joins (a, b) of components among the members of each bucket, by bounded block pairs."""
+    own = active.join(texts.withColumn("w", F.length("text") / 4), "node")
+    weight = own.groupBy("key").agg(F.sum("w").alias("w"), F.max("m").alias("m"))
+    parts = weight.select("key", F.greatest(F.ceil(F.col("m") / block), F.ceil(F.col("w") / BLOCK_SHINGLES), F.lit(1))
+                          .cast("int").alias("parts"))
+    sides = active.join(parts, "key").withColumn("side", F.pmod("turn", F.col("parts")).cast("int"))
+    dealt = sides.select("key", "node", "root", "side", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("o")) \
+        .select("key", "node", "root", "side", F.least("side", "o").alias("s"), F.greatest("side", "o").alias("t")) \
+        .join(texts, "node")
+    return dealt.groupBy("key", "s", "t").applyInArrow(_block_links(shingle, threshold), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     threshold: int = 80, bands: int = BANDS, rows: int = ROWS,
-                    star_rounds: int = STAR_ROUNDS) -> DataFrame:
+                    block: int = BLOCK) -> DataFrame:
     """doc_id, text_key, n_shingles, class_id, component_id, kept per document row.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` (A-Z lower-cased); a document's set holds its distinct
@@ -245,50 +294,39 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         return pairs.join(side("a"), "a").join(side("b"), "b").filter(
             (apart <= limit) & (100 * F.least("a_n", "b_n") >= threshold * F.greatest("a_n", "b_n"))).select("a", "b")
 
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = materialize(pairs, f"near-dup-{name}-pairs")
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        own = reps.join(wanted, "node").select("node", F.col("own.doc_id").alias("i"), F.col("own.text_key").alias("k"))
-        texts = plain.join(own, plain["doc_id"].eqNullSafe(own["i"]) & (plain["text_key"] == own["k"])) \
+    def texts_of(nodes: DataFrame, name: str) -> DataFrame:
+        """(node, text) of class representatives."""
+        own = reps.join(nodes, "node").select("node", F.col("own.doc_id").alias("i"), F.col("own.text_key").alias("k"))
+        found = plain.join(own, plain["doc_id"].eqNullSafe(own["i"]) & (plain["text_key"] == own["k"])) \
             .groupBy("node").agg(F.first("text").alias("text"))
-        texts = materialize(texts, f"near-dup-{name}-texts")
+        return materialize(found, f"near-dup-{name}-texts")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        pairs = materialize(pairs, "near-dup-pairs")
+        texts = texts_of(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "star")
         a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
         ab = a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
         checked = ab.select("a", "b", "ta", "tb").mapInArrow(_verify(shingle, threshold), "a long, b long, ok boolean")
-        return materialize(checked.filter("ok").select("a", "b"), f"near-dup-{name}-links")
-
-    links = None
-    active = member  # members not yet led in their bucket
-    label = None
-    for turn in range(star_rounds):
-        lead = active.groupBy("key").agg(F.min(F.struct("turn", "node")).alias("lead"), F.count(F.lit(1)).alias("left")) \
-            .filter("left > 1").select("key", F.col("lead.node").alias("leader"))
-        led = active.join(lead, "key").filter("node <> leader")
-        if label is not None:  # members of the leader's own component need no link to it
-            led = led.join(label.select(F.col("node").alias("leader"), F.col("root").alias("lead_root")), "leader", "left") \
-                .filter("not (root <=> coalesce(lead_root, leader))")
-        pairs = led.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-        new = confirmed(screened(pairs), f"star{turn}")
-        links = new if links is None else materialize(links.unionByName(new), "near-dup-links")
-        label = components(links)
-        left = active.select("key", "node", "turn").join(lead, "key").filter("node <> leader").drop("leader") \
-            .join(label, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = left.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                        F.count(F.lit(1)).alias("m")).filter("lo <> hi").select("key", "m")
-        active = materialize(left.join(mixed, "key"), "near-dup-active")
-        if active.isEmpty():
-            break
-    else:
-        parts = F.ceil(F.col("m") / BLOCK).cast("int")
-        own = active.withColumn("parts", parts).withColumn("side", F.pmod(F.col("turn"), F.col("parts")).cast("int"))
-        dealt = own.select("key", "node", "root", "side", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("o")) \
-            .select("key", "node", "root", "side", F.least("side", "o").alias("s"), F.greatest("side", "o").alias("t")) \
-            .join(reps.select("node", "n", *sketch), "node")
-        pairs = dealt.groupBy("key", "s", "t").applyInArrow(_block_pairs(limit), "a long, b long").distinct()
-        new = confirmed(screened(pairs), "rest")
-        if not new.isEmpty():
-            links = materialize(links.unionByName(new), "near-dup-links")
-            label = components(links)
+        return checked.filter("ok").select("a", "b")
+
+    lead = member.groupBy("key").agg(F.min(F.struct("turn", "node")).alias("lead")).select("key", F.col("lead.node").alias("leader"))
+    led = member.join(lead, "key").filter("node <> leader").select("key", "node", "turn", "leader")
+    pairs = led.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    label = components(confirmed(screened(pairs)))
+
+    rooted = led.join(label, "node", "left").select("key", "node", "turn", F.coalesce("root", "node").alias("root"))
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m")) \
+        .filter("lo <> hi").select("key", "m")
+    active = materialize(rooted.join(mixed, "key"), "near-dup-active")
+    if not active.isEmpty():
+        joins = materialize(_compare(active, texts_of(active.select("node").distinct(), "rest"), shingle, threshold, block),
+                            "near-dup-joins")
+        if not joins.isEmpty():
+            over = components(joins, "near-dup-over").select(F.col("node").alias("root"), F.col("root").alias("top"))
+            names = label.unionByName(over.select(F.col("root").alias("node"), "root").join(
+                label.select("node"), "node", "left_anti"))  # a component of one has no label yet
+            label = materialize(names.join(over, "root", "left").select("node", F.coalesce("top", "root").alias("root")),
+                                "near-dup-label")
 
     classes = reps.select("node", "first_id").join(label, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
