@@ -29,6 +29,7 @@ GRAMS = (2, 3)
 CLUSTERS = 4
 SAMPLE_ROWS = 1500
 REJECT_QUANTILE = 0.002
+MAX_SHARED_LANGS = 100_000
 GROUP = 256
 UND = "und"
 
@@ -166,6 +167,8 @@ def train(rows: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
         df[r.slot] = r.df
     idf = (np.log((df[DIM] + 1) / (df[:DIM] + 1)) + 1).astype(np.float32)
     share = rows.groupBy("lang").count().withColumn("share", F.least(F.lit(1.0), F.lit(float(sample_rows)) / F.col("count")))
+    if share.count() <= MAX_SHARED_LANGS:  # one small row per language; beyond, they meet by a shuffle
+        share = F.broadcast(share)
     sample = rows.join(share, "lang").filter(F.pmod("h", F.lit(1_000_003)) < F.col("share") * 1_000_003)
     fitted = sample.select("lang", "h", "text").groupBy("lang").applyInArrow(
         _fit(idf, clusters, quantile), "lang string, centroid binary, least double")
