@@ -1,8 +1,8 @@
 """Readers and writers: typed CSV/parquet tables, the test-table view, sinks."""
 
 from cinerank.sources.files import (
-    CATALOG_SCHEMA,
-    RATINGS_SCHEMA,
+    CATALOG_COLUMNS,
+    RATINGS_COLUMNS,
     read_catalog,
     read_ratings,
 )
@@ -10,8 +10,8 @@ from cinerank.sources.sinks import write_recommendations, write_report
 from cinerank.sources.testdata import catalog_view, load_tables, ratings_view
 
 __all__ = [
-    "CATALOG_SCHEMA",
-    "RATINGS_SCHEMA",
+    "CATALOG_COLUMNS",
+    "RATINGS_COLUMNS",
     "read_catalog",
     "read_ratings",
     "write_recommendations",

@@ -1,49 +1,47 @@
-"""Ratings and catalog files (MovieLens layout) with declared schemas.
+"""Ratings and catalog files (MovieLens layout), columns by name.
 
-The CSV header is used only to skip the first line; types come from the schema, so
-``NaN`` and empty fields become null/NaN and are removed by the preparation step.
-Any Hadoop file-system URI works as ``path`` (local, HDFS, object stores).
+CSV columns are taken by their header names as text and cast by name, whatever their order; a
+missing column fails.  ``NaN`` and empty fields become NaN and null and are removed by the
+preparation step.  Values that do not parse fail the job (``on_bad="error"``) or become null
+(``on_bad="null"``).  Any Hadoop file-system URI works as ``path`` (local, HDFS, object stores).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-RATINGS_SCHEMA = T.StructType([
-    T.StructField("userId", T.LongType()),
-    T.StructField("movieId", T.LongType()),
-    T.StructField("rating", T.DoubleType()),
-    T.StructField("timestamp", T.LongType()),
-])
+RATINGS_COLUMNS = {"userId": "long", "movieId": "long", "rating": "double", "timestamp": "long"}
+CATALOG_COLUMNS = {"movieId": "long", "title": "string", "genres": "string"}
 
-CATALOG_SCHEMA = T.StructType([
-    T.StructField("movieId", T.LongType()),
-    T.StructField("title", T.StringType()),
-    T.StructField("genres", T.StringType()),
-])
 
+def _load(spark: SparkSession, path: str, fmt: str, wanted: dict[str, str]) -> DataFrame:
+    reader = spark.read.option("header", True).option("inferSchema", False) if fmt == "csv" else spark.read
+    df = reader.format(fmt).load(path)
+    missing = [c for c in wanted if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; it has {', '.join(df.columns)}")
+    return df
 
-def _reader(spark: SparkSession, fmt: str, schema: T.StructType):
-    if fmt == "csv":
-        return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").format("csv")
-    return spark.read.format(fmt)
 
+def _typed(name: str, kind: str, on_bad: str) -> Column:
+    if on_bad not in ("error", "null"):
+        raise ValueError("on_bad must be 'error' or 'null'")
+    value = F.col(name).try_cast(kind)
+    if on_bad == "null" or kind == "string":
+        return value
+    bad = value.isNull() & (F.trim(F.col(name).cast("string")) != "")
+    said = F.concat(F.lit(f"{name} is no {kind}: "), F.col(name).cast("string"))
+    return F.when(bad, F.raise_error(said).cast(kind)).otherwise(value)
 
-def read_ratings(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+
+def read_ratings(spark: SparkSession, path: str, fmt: str = "csv", on_bad: str = "error") -> DataFrame:
     """``userId, movieId, rating, ts`` (``ts`` = epoch seconds)."""
-    df = _reader(spark, fmt, RATINGS_SCHEMA).load(path)
-    return df.select(
-        F.col("userId").cast("long"),
-        F.col("movieId").cast("long"),
-        F.col("rating").cast("double"),
-        F.col("timestamp").cast("long").alias("ts"),
-    )
+    df = _load(spark, path, fmt, RATINGS_COLUMNS)
+    return df.select(*[_typed(c, t, on_bad).alias("ts" if c == "timestamp" else c) for c, t in RATINGS_COLUMNS.items()])
 
 
-def read_catalog(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_catalog(spark: SparkSession, path: str, fmt: str = "csv", on_bad: str = "error") -> DataFrame:
     """``movieId, title, genres`` (genres joined with ``|``)."""
-    df = _reader(spark, fmt, CATALOG_SCHEMA).load(path)
-    return df.select(F.col("movieId").cast("long"), F.col("title").cast("string"),
-                     F.col("genres").cast("string"))
+    df = _load(spark, path, fmt, CATALOG_COLUMNS)
+    return df.select(*[_typed(c, t, on_bad).alias(c) for c, t in CATALOG_COLUMNS.items()])

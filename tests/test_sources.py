@@ -25,6 +25,21 @@ def test_csv_reader_types_and_cleaning(spark):
         (10, "Heat, The", "Action|Crime"), (11, "Up", "(no genres listed)")]
 
 
+def test_csv_columns_by_name(spark):
+    import pytest
+    d = tempfile.mkdtemp(prefix="cinerank-csv-")
+    _write(f"{d}/a.csv", "movieId,extra,userId,rating,timestamp\n10,x,1,4.5,100\n")
+    assert [tuple(x) for x in read_ratings(spark, f"{d}/a.csv").collect()] == [(1, 10, 4.5, 100)]
+    _write(f"{d}/b.csv", "userId,movieId,rating\n1,10,4.5\n")
+    with pytest.raises(ValueError, match="timestamp"):
+        read_ratings(spark, f"{d}/b.csv")
+    _write(f"{d}/c.csv", "userId,movieId,rating,timestamp\n1,10,abc,100\n1,11,,100\n")
+    with pytest.raises(Exception, match="rating is no double: abc"):
+        read_ratings(spark, f"{d}/c.csv").collect()
+    lenient = read_ratings(spark, f"{d}/c.csv", on_bad="null").collect()
+    assert [x.rating for x in lenient] == [None, None]
+
+
 def test_sinks_and_run_all(spark, frames):
     rows = [(u, m, float(1 + (u * m) % 5), u + m) for u in range(1, 9) for m in range(1, 9) if (u + m) % 3]
     cat = [(m, f"t{m}", "A|B" if m % 2 else "B") for m in range(1, 9)]
