@@ -58,9 +58,9 @@ def neighbors(rows, catalog, k):
                 continue
             dot = sum(by_item[i][u] * by_item[j][u] for u in common)
             den = math.sqrt(n2[i]) * math.sqrt(n2[j])
-            cand.append((0 if den == 0 else micro(dot / den), j))
+            cand.append((0.0 if den == 0 else dot / den, j))
         cand.sort(key=lambda t: (-t[0], t[1]))
-        out[i] = cand[:k]
+        out[i] = [(max(1, math.floor(s * 1e12 + 0.5)) if s > 0 else 0, j) for s, j in cand[:k]]
     return out
 
 
@@ -160,20 +160,18 @@ def _h32(text: str) -> int:
     return int(hashlib.md5(text.encode()).hexdigest()[:8], 16)
 
 
-def random_rec(rows, catalog, n=5, seed=42, draws=None):
-    draws = 4 * n + 8 if draws is None else draws
+def random_rec(rows, catalog, n=5, seed=42):
+    """Floyd's sample of ranks among the user's unseen items, in id order."""
     ids = sorted({c[0] for c in catalog})
-    seen = ratings_by_user(rows)
     out = {}
-    for u, rated in seen.items():
-        picked = []
-        for t in range(draws):
-            m = ids[_h32(f"{seed}:pick:{u}:{t}") % len(ids)]
-            if m not in rated and m not in picked:
-                picked.append(m)
-        picked = picked[:n]
-        rest = [m for m in ids if m not in rated and m not in picked][: n - len(picked)]
-        chosen = picked + rest
-        scored = [(m, 1.0 + 4.0 * (_h32(f"{seed}:score:{u}:{m}") / 4294967296.0)) for m in chosen]
+    for u, rated in ratings_by_user(rows).items():
+        free = [m for m in ids if m not in rated]
+        k = min(n, len(free))
+        ranks = []
+        for t in range(k):
+            last = len(free) - k + t
+            draw = _h32(f"{seed}:pick:{u}:{t}") % (last + 1)
+            ranks.append(last if draw in ranks else draw)
+        scored = [(free[r], 1.0 + 4.0 * (_h32(f"{seed}:score:{u}:{free[r]}") / 4294967296.0)) for r in ranks]
         out[u] = sorted(scored, key=lambda t: (-t[1], t[0]))
     return out
