@@ -8,8 +8,8 @@ plans the exchange), and unions that feed a per-user window are first cut to at
 rows per user and then explicitly repartitioned, so no result depends on two inputs
 sharing a partition layout at run time.
 
-Catalog-sized tables are broadcast only after their row count is checked against a
-limit; above it the same plan runs with shuffle joins.
+Catalog-sized tables are broadcast only after their size (rows times a stated width) is
+checked against a limit; above it the same plan runs with shuffle joins.
 """
 
 from __future__ import annotations
@@ -19,9 +19,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row limit for broadcasting catalog-derived tables (item rows, signature rows,
-# neighbour rows).  Counted before use; larger tables take the shuffle path.
-BROADCAST_ROW_LIMIT = 4_000_000
+# Bytes that one broadcast table may take.  Rows are counted before use and weighed with a
+# stated width; larger tables take the shuffle path.  A plan holds at most six such tables.
+BROADCAST_BYTE_LIMIT = 96 << 20
+# Widths: three numbers; an id with a title, genre array or signature text.
+NUMBER_ROW, ITEM_ROW = 32, 256
 
 
 def shuffle_partitions(df: DataFrame) -> int:
@@ -38,8 +40,8 @@ def by_user(df: DataFrame) -> DataFrame:
     return df.repartition(shuffle_partitions(df), "userId")
 
 
-def fits_broadcast(n_rows: int, limit: int | None = None) -> bool:
-    return n_rows <= (BROADCAST_ROW_LIMIT if limit is None else limit)
+def fits_broadcast(n_rows: int, row_bytes: int = NUMBER_ROW) -> bool:
+    return n_rows * row_bytes <= BROADCAST_BYTE_LIMIT
 
 
 def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:

@@ -4,36 +4,40 @@ sim(i, j) = sum_u r_ui * r_uj / (||r_i|| * ||r_j||), norms over *all* ratings of
 
 Plan
 ----
-* Each rating carries its item's squared norm (window over the item) and its user's
-  rating count (window over the user), so norms never need a join on the pair table.
+* Squared norms per item and rating counts per user are aggregations with map-side combination,
+  joined back to the ratings (Spark splits a hot item or user in those joins); the table is
+  written once and read by both sides of the self-join.
 * Pairs come from a self-join on the user.  A user with n ratings yields n^2/2 pairs, and
   one user may hold a large share of the table, so users are split into
   ``ceil(n / block_size)`` item blocks and joined on (user, block_a, block_b) with
-  block_a <= block_b: every join task sees at most block_size x block_size pairs, and only
-  users above block_size are replicated (each row once per partner block).
+  block_a <= block_b: a key has at most block_size x block_size pairs, and only users above
+  block_size are replicated (each row once per partner block).
 * Dot products are summed per unordered pair with map-side partial aggregation; with
-  half-star ratings every partial sum is exact.  One division gives the cosine, which is
-  quantised to millionths before ranking.
+  half-star ratings every partial sum is exact.  One division gives the cosine, which is ranked
+  unrounded; as a weight it is an integer in 1e-12 steps (at least 1), which keeps the sums over
+  a few hundred neighbours exact.
 * Mirrored pairs are ranked per item; ``row_number <= K`` is limited inside each map task
   before the shuffle.  The item itself is one of its K neighbours.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.functions.columns import from_micro, micro
 from cinerank.operators.rank import rated_catalog_items, top_n
+from cinerank.session import materialize
 
 DEFAULT_K = 100
-DEFAULT_BLOCK = 4096
+DEFAULT_BLOCK = 1024
+WEIGHT_UNIT = 1e12
 
 
 def _rated(ratings: DataFrame) -> DataFrame:
     r = ratings.select("userId", "movieId", "rating")
-    r = r.withColumn("n2", F.sum(F.col("rating") * F.col("rating")).over(Window.partitionBy("movieId")))
-    return r.withColumn("n_u", F.count(F.lit(1)).over(Window.partitionBy("userId")))
+    n2 = r.groupBy("movieId").agg(F.sum(F.col("rating") * F.col("rating")).alias("n2"))
+    n_u = r.groupBy("userId").agg(F.count(F.lit(1)).alias("n_u"))
+    return r.join(n2, "movieId").join(n_u, "userId")
 
 
 def item_norms(ratings: DataFrame) -> DataFrame:
@@ -42,22 +46,19 @@ def item_norms(ratings: DataFrame) -> DataFrame:
             .agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("norm")))
 
 
-def pair_dots(ratings: DataFrame, block_size: int = DEFAULT_BLOCK) -> DataFrame:
+def pair_dots(ratings: DataFrame, block_size: int = DEFAULT_BLOCK, cut: bool = True) -> DataFrame:
     """``i, j, dot, n2_i, n2_j`` for co-rated pairs with i <= j (diagonal included)."""
     r = _rated(ratings)
     nb = F.greatest(F.lit(1), F.ceil(F.col("n_u") / F.lit(block_size))).cast("int")
     r = r.withColumn("nb", nb).withColumn("blk", F.pmod(F.xxhash64("movieId"), F.col("nb")).cast("int"))
+    if cut:
+        r = materialize(r, "rated")
     left = r.select("userId", F.col("blk").alias("ba"),
                     F.explode(F.sequence(F.col("blk"), F.col("nb") - 1)).alias("bb"),
                     F.col("movieId").alias("a"), F.col("rating").alias("ra"), F.col("n2").alias("n2a"))
     right = r.select("userId", F.col("blk").alias("bb"),
                      F.explode(F.sequence(F.lit(0), F.col("blk"))).alias("ba"),
                      F.col("movieId").alias("b"), F.col("rating").alias("rb"), F.col("n2").alias("n2b"))
-    # Fixed partition count on the join key: the inputs are small, the join output is
-    # ~n^2 per user, so the count must not be shrunk to the input size.
-    parts = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = left.repartition(parts, "userId", "ba", "bb")
-    right = right.repartition(parts, "userId", "ba", "bb")
     pairs = (left.join(right, ["userId", "ba", "bb"])
              .where((F.col("ba") < F.col("bb")) | (F.col("a") <= F.col("b"))))
     lo_first = F.col("a") <= F.col("b")
@@ -70,29 +71,35 @@ def pair_dots(ratings: DataFrame, block_size: int = DEFAULT_BLOCK) -> DataFrame:
             .agg(F.sum("p").alias("dot"), F.max("n2_i").alias("n2_i"), F.max("n2_j").alias("n2_j")))
 
 
-def cosine_micro(dot, n2_i, n2_j):
+def cosine(dot, n2_i, n2_j):
+    """Unrounded: exact sums, correctly rounded roots, one product and one division."""
     den = F.sqrt(n2_i) * F.sqrt(n2_j)
-    return F.when(den == 0, F.lit(0)).otherwise(micro(dot / den))
+    return F.when(den == 0, F.lit(0.0)).otherwise(dot / den)
 
 
-def pair_similarities(ratings: DataFrame, block_size: int = DEFAULT_BLOCK) -> DataFrame:
-    """``i, j, sim_micro`` for co-rated pairs with i <= j."""
-    d = pair_dots(ratings, block_size)
-    return d.select("i", "j", cosine_micro(F.col("dot"), F.col("n2_i"), F.col("n2_j")).alias("sim_micro"))
+def weight(sim):
+    """A positive similarity as an integer in 1e-12 steps, at least 1; 0 otherwise."""
+    sim = F.col(sim) if isinstance(sim, str) else sim
+    return F.when(sim > 0, F.greatest(F.lit(1), F.floor(sim * F.lit(WEIGHT_UNIT) + F.lit(0.5)))).otherwise(F.lit(0)).cast("long")
+
+
+def pair_similarities(ratings: DataFrame, block_size: int = DEFAULT_BLOCK, cut: bool = True) -> DataFrame:
+    """``i, j, sim`` for co-rated pairs with i <= j."""
+    d = pair_dots(ratings, block_size, cut)
+    return d.select("i", "j", cosine(F.col("dot"), F.col("n2_i"), F.col("n2_j")).alias("sim"))
 
 
 def item_neighbors(ratings: DataFrame, catalog: DataFrame, k: int = DEFAULT_K,
-                   block_size: int = DEFAULT_BLOCK) -> DataFrame:
-    """``movieId, neighborId, sim_micro, sim, rnk``: K most similar rated items of every
-    rated catalog item (ties: lower id first).  Items sharing no rater have similarity 0
+                   block_size: int = DEFAULT_BLOCK, cut: bool = True) -> DataFrame:
+    """``movieId, neighborId, sim, w, rnk``: K most similar rated items of every rated catalog
+    item (ties: lower id first) and their weights.  Items sharing no rater have similarity 0
     and add nothing to any prediction, so only co-rated pairs are kept."""
-    s = pair_similarities(ratings, block_size)
+    s = pair_similarities(ratings, block_size, cut)
     both = s.select(F.explode(F.when(F.col("i") == F.col("j"),
                                      F.array(F.struct(F.col("i").alias("movieId"), F.col("j").alias("neighborId"))))
                               .otherwise(F.array(F.struct(F.col("i").alias("movieId"), F.col("j").alias("neighborId")),
                                                  F.struct(F.col("j").alias("movieId"), F.col("i").alias("neighborId")))))
-                    .alias("p"), "sim_micro").select("p.movieId", "p.neighborId", "sim_micro")
-    ranked = top_n(both, k, "movieId", [F.col("sim_micro").desc(), F.col("neighborId").asc()])
+                    .alias("p"), "sim").select("p.movieId", "p.neighborId", "sim")
+    ranked = top_n(both, k, "movieId", [F.col("sim").desc(), F.col("neighborId").asc()])
     rows = ranked.join(rated_catalog_items(ratings, catalog), "movieId", "left_semi")
-    return rows.select("movieId", "neighborId", "sim_micro", from_micro("sim_micro").alias("sim"),
-                       F.col("rnk").cast("int").alias("rnk"))
+    return rows.select("movieId", "neighborId", "sim", weight("sim").alias("w"), F.col("rnk").cast("int").alias("rnk"))

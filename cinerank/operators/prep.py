@@ -15,7 +15,7 @@ sees in one partition; every table-sized step is a partitioned aggregate or join
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinerank.functions.columns import truncated
@@ -60,17 +60,15 @@ def quartile_threshold(counts: DataFrame) -> DataFrame:
     return at_index.select("n_keys", F.col("cnt").alias("threshold"))
 
 
-def surviving_counts(counts: DataFrame) -> DataFrame:
-    """Count values strictly above the quartile threshold."""
-    hist = count_histogram(counts)
-    return hist.where(F.col("n_below") > F.floor(F.col("n_keys") / 4)).select("cnt")
+def threshold(counts: DataFrame) -> Column:
+    """The quartile threshold as a scalar subquery (null for an empty input)."""
+    return quartile_threshold(counts).select(F.max("threshold")).scalar()
 
 
 def remove_low_activity(ratings: DataFrame, key: str) -> DataFrame:
     """Keep the rows of keys rated more often than the lower-quartile count."""
     counts = key_counts(ratings, key)
-    # surviving_counts has one row per distinct count value: bounded, broadcast.
-    keep = counts.join(F.broadcast(surviving_counts(counts)), "cnt").select(key)
+    keep = counts.where(F.col("cnt") > threshold(counts)).select(key)
     return ratings.join(keep, key, "left_semi")
 
 
@@ -118,8 +116,7 @@ def prepare_ratings(ratings: DataFrame, cut_input: bool = False) -> DataFrame:
     by_item = remove_low_activity(clean, "movieId")
     high = F.max(F.when(truncated("rating").isin(*HIGH_RATINGS), 1).otherwise(0))
     stats = by_item.groupBy("userId").agg(F.count(F.lit(1)).alias("cnt"), high.alias("high"))
-    keep = (stats.join(F.broadcast(surviving_counts(stats.select("userId", "cnt"))), "cnt")
-            .where(F.col("high") == 1).select("userId"))
+    keep = stats.where((F.col("cnt") > threshold(stats.select("userId", "cnt"))) & (F.col("high") == 1)).select("userId")
     return by_item.join(keep, "userId", "left_semi")
 
 
@@ -136,7 +133,7 @@ def preparation_audit(ratings: DataFrame, cut: bool = True) -> DataFrame:
         if step == "high_rating":
             thr = F.lit(None).cast("long")
         else:
-            thr = quartile_threshold(key_counts(before, key)).select(F.max("threshold")).scalar()
+            thr = threshold(key_counts(before, key))
         rows_before = before.select(F.count(F.lit(1))).scalar()
         rows_after = after.select(F.count(F.lit(1))).scalar()
         removed = removed_keys_of(before, after, key).select(F.count(F.lit(1))).scalar()

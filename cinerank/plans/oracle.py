@@ -10,7 +10,6 @@ N = 5
 M = 5
 K = 100
 SEED = 42
-DRAWS = 4 * N + 8
 W_ITEM, W_CONTENT = "0.6", "0.4"
 
 BASE = """
@@ -48,19 +47,20 @@ norms AS (SELECT movieId, sum(rating * rating) AS n2 FROM prepared GROUP BY movi
 dots AS (SELECT a.movieId AS i, b.movieId AS j, sum(a.rating * b.rating) AS dot
          FROM prepared a JOIN prepared b ON a.userId = b.userId AND a.movieId <= b.movieId GROUP BY 1, 2),
 sims AS (SELECT d.i, d.j, d.dot,
-                CASE WHEN sqrt(x.n2) * sqrt(y.n2) = 0 THEN 0
-                     ELSE CAST(floor(d.dot / (sqrt(x.n2) * sqrt(y.n2)) * 1e6 + 0.5) AS BIGINT) END AS sim_micro
+                CASE WHEN sqrt(x.n2) * sqrt(y.n2) = 0 THEN 0.0::DOUBLE
+                     ELSE d.dot / (sqrt(x.n2) * sqrt(y.n2)) END AS sim
          FROM dots d JOIN norms x ON x.movieId = d.i JOIN norms y ON y.movieId = d.j),
-both_dir AS (SELECT i AS movieId, j AS neighborId, sim_micro FROM sims
-             UNION ALL SELECT j, i, sim_micro FROM sims WHERE i <> j),
+both_dir AS (SELECT i AS movieId, j AS neighborId, sim FROM sims
+             UNION ALL SELECT j, i, sim FROM sims WHERE i <> j),
 rated_items AS (SELECT DISTINCT movieId FROM catalog WHERE movieId IN (SELECT movieId FROM prepared)),
-neighbors AS (SELECT movieId, neighborId, sim_micro, CAST(rnk AS INTEGER) AS rnk FROM (
-                SELECT *, row_number() OVER (PARTITION BY movieId ORDER BY sim_micro DESC, neighborId) AS rnk
+neighbors AS (SELECT movieId, neighborId, sim, CAST(rnk AS INTEGER) AS rnk,
+                CASE WHEN sim > 0 THEN greatest(1, CAST(floor(sim * 1e12 + 0.5) AS BIGINT)) ELSE 0 END AS w FROM (
+                SELECT *, row_number() OVER (PARTITION BY movieId ORDER BY sim DESC, neighborId) AS rnk
                 FROM both_dir) t
               WHERE rnk <= {K} AND movieId IN (SELECT movieId FROM rated_items))"""
 
 ITEM = f"""
-sup AS (SELECT p.userId, n.movieId, sum(n.sim_micro * p.rating) AS num, sum(n.sim_micro) AS den
+sup AS (SELECT p.userId, n.movieId, sum(n.w * p.rating) AS num, sum(n.w) AS den
         FROM neighbors n JOIN prepared p ON p.movieId = n.neighborId GROUP BY 1, 2),
 cand AS (SELECT u.userId, r.movieId FROM users u CROSS JOIN rated_items r
          WHERE NOT EXISTS (SELECT 1 FROM prepared p WHERE p.userId = u.userId AND p.movieId = r.movieId)),
@@ -113,23 +113,28 @@ def _h32(text: str) -> str:
     return f"CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT)"
 
 
+def _floyd() -> str:
+    """CTEs f0 .. f(N-1): one distinct rank per step among n_unseen ranks."""
+    out = []
+    for t in range(N):
+        prior = [f"p{i}" for i in range(t)]
+        last = f"(n_unseen - k + {t})"
+        draw = f"({_h32(f"concat_ws(':', {SEED}, 'pick', userId, {t})")} % ({last} + 1))"
+        taken = " OR ".join(f"{draw} = {p}" for p in prior) or "FALSE"
+        out.append(f"f{t} AS (SELECT *, CASE WHEN k <= {t} THEN NULL WHEN {taken} THEN {last} ELSE {draw} END AS p{t}"
+                   f" FROM {f'f{t - 1}' if t else 'unseen'})")
+    return ",\n".join(out)
+
+
 RANDOM = f"""
-cat_items AS (SELECT movieId, row_number() OVER (ORDER BY movieId) AS pos
-              FROM (SELECT DISTINCT movieId FROM catalog) t),
-tries AS (SELECT u.userId, d.t,
-                 {_h32(f"concat_ws(':', {SEED}, 'pick', u.userId, d.t)")} % (SELECT count(*) FROM cat_items) + 1 AS pos
-          FROM users u CROSS JOIN range(0, {DRAWS}) AS d(t)),
-picked AS (SELECT tr.userId, ci.movieId, min(tr.t) AS t FROM tries tr JOIN cat_items ci USING (pos) GROUP BY 1, 2),
-picked_unseen AS (SELECT * FROM picked p
-                  WHERE NOT EXISTS (SELECT 1 FROM prepared s WHERE s.userId = p.userId AND s.movieId = p.movieId)),
-first_pick AS (SELECT userId, movieId FROM picked_unseen
-               QUALIFY row_number() OVER (PARTITION BY userId ORDER BY t) <= {N}),
-got AS (SELECT u.userId, count(f.movieId) AS got FROM users u LEFT JOIN first_pick f USING (userId) GROUP BY 1),
-rest AS (SELECT g.userId, ci.movieId FROM got g JOIN cat_items ci ON g.got < {N}
-         WHERE NOT EXISTS (SELECT 1 FROM prepared s WHERE s.userId = g.userId AND s.movieId = ci.movieId)
-           AND NOT EXISTS (SELECT 1 FROM first_pick f WHERE f.userId = g.userId AND f.movieId = ci.movieId)
-         QUALIFY row_number() OVER (PARTITION BY g.userId ORDER BY ci.movieId) <= {N} - g.got),
-chosen AS (SELECT * FROM first_pick UNION ALL SELECT * FROM rest),
+cat_items AS (SELECT DISTINCT movieId FROM catalog),
+free_items AS (SELECT u.userId, c.movieId, row_number() OVER (PARTITION BY u.userId ORDER BY c.movieId) - 1 AS r
+               FROM users u CROSS JOIN cat_items c
+               WHERE NOT EXISTS (SELECT 1 FROM prepared s WHERE s.userId = u.userId AND s.movieId = c.movieId)),
+unseen AS (SELECT userId, count(*) AS n_unseen, least({N}, count(*)) AS k FROM free_items GROUP BY userId),
+{_floyd()},
+ranks AS (SELECT userId, unnest([{', '.join(f'p{t}' for t in range(N))}]) AS r FROM f{N - 1}),
+chosen AS (SELECT f.userId, f.movieId FROM free_items f JOIN ranks x ON x.userId = f.userId AND x.r = f.r),
 random_scored AS (SELECT userId, movieId,
                          1.0 + 4.0 * (CAST({_h32(f"concat_ws(':', {SEED}, 'score', userId, movieId)")} AS DOUBLE)
                                       / 4294967296.0) AS score
@@ -210,14 +215,18 @@ def oracle_sql() -> dict[str, str]:
                  (SELECT DISTINCT userId FROM r2 EXCEPT SELECT DISTINCT userId FROM prepared) c""",
         "item_norms": _with(b, p) + " SELECT movieId, sqrt(sum(rating * rating)) AS norm FROM prepared GROUP BY movieId",
         "item_dot": _with(b, p, NEIGH) + " SELECT i, j, dot FROM dots",
-        "item_similarity": _with(b, p, NEIGH) + " SELECT i, j, CAST(sim_micro AS DOUBLE) / 1e6 AS sim FROM sims",
-        "item_neighbors": _with(b, p, NEIGH) + """ SELECT movieId, neighborId, CAST(sim_micro AS DOUBLE) / 1e6 AS sim, rnk
+        "item_similarity": _with(b, p, NEIGH) + " SELECT i, j, floor(sim * 1e9 + 0.5) / 1e9 AS sim FROM sims",
+        "item_neighbors": _with(b, p, NEIGH) + """ SELECT movieId, neighborId, floor(sim * 1e9 + 0.5) / 1e9 AS sim, rnk
               FROM neighbors""",
-        "dense_cosine": _with(b, p, CONTENT) + """ SELECT t.userId, t.movieId,
-                 CAST(floor(5.0 * (coalesce(d.dot, 0) / (sqrt(p2.p2) * sqrt(CAST(g2.g2 AS DOUBLE)))) * 1e6 + 0.5) AS DOUBLE)
-                 / 1e6 AS cos5
-              FROM content_top t JOIN p2 USING (userId) JOIN g2 USING (movieId)
-              LEFT JOIN cdots d USING (userId, movieId)""",
+        "dense_cosine": _with(b, p, CONTENT) + """,
+              rated_dots AS (SELECT r.userId, r.movieId, sum(f.weight) AS dot FROM prepared r
+                 JOIN item_genres g ON g.movieId = r.movieId
+                 JOIN profile f ON f.userId = r.userId AND f.genre = g.genre GROUP BY 1, 2)
+              SELECT r.userId, r.movieId, CAST(floor(coalesce(5.0 * (d.dot / (sqrt(p2.p2) * sqrt(CAST(g2.g2 AS DOUBLE)))), 0)
+                 * 1e6 + 0.5) AS DOUBLE) / 1e6 AS cos5
+              FROM prepared r JOIN cusers USING (userId) JOIN (SELECT DISTINCT movieId FROM catalog) c USING (movieId)
+              LEFT JOIN p2 USING (userId) LEFT JOIN g2 USING (movieId) LEFT JOIN rated_dots d USING (userId, movieId)""",
+        "nested_lists": _with(b, p, CONTENT) + f""" SELECT userId, rnk AS pos, title, score FROM ({CONTENT_OUT}) t""",
         "seen_pairs": _with(b, p) + " SELECT DISTINCT userId, movieId FROM prepared",
         "unseen_counts": _with(b, p, NEIGH) + """ SELECT u.userId, (SELECT count(*) FROM rated_items)
                  - (SELECT count(*) FROM prepared s WHERE s.userId = u.userId

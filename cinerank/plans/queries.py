@@ -17,8 +17,8 @@ from cinerank.operators import prep
 from cinerank.operators.content import item_genres, item_signatures
 from cinerank.operators.item_based import item_based_scores
 from cinerank.operators.neighbors import item_norms, pair_dots, pair_similarities
-from cinerank.operators.rank import rated_catalog_items, seen_pairs
-from cinerank.plans.pipeline import METHODS, Recommender
+from cinerank.operators.rank import flat_view, nested_view, rated_catalog_items, seen_pairs
+from cinerank.plans.pipeline import Recommender, run_all
 from cinerank.session import materialize
 from cinerank.sources.testdata import catalog_view, ratings_view
 
@@ -27,9 +27,9 @@ M = 5
 K = 100
 
 
-def _recommender(spark: SparkSession, sf_dir: str, share_item_scores: bool = False) -> Recommender:
+def _recommender(spark: SparkSession, sf_dir: str) -> Recommender:
     return Recommender(ratings_view(spark, sf_dir), catalog_view(spark, sf_dir), k=K,
-                       vocabulary=TEST_VIEW_GENRES, on_unknown="error", share_item_scores=share_item_scores)
+                       vocabulary=TEST_VIEW_GENRES, on_unknown="error")
 
 
 def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,29 +92,35 @@ def q_item_dot(spark, sf_dir):
     return pair_dots(_prepared(spark, sf_dir)).select("i", "j", "dot")
 
 
+def _nano(c):
+    """Nine decimal places, half up: outputs only; ranking and weights use the full value."""
+    return F.floor(F.col(c) * F.lit(1e9) + F.lit(0.5)).cast("double") / F.lit(1e9)
+
+
 def q_item_similarity(spark, sf_dir):
-    return pair_similarities(_prepared(spark, sf_dir)).select("i", "j", from_micro("sim_micro").alias("sim"))
+    return pair_similarities(_prepared(spark, sf_dir)).select("i", "j", _nano("sim").alias("sim"))
 
 
 def q_item_neighbors(spark, sf_dir):
-    return _recommender(spark, sf_dir).neighbors.select("movieId", "neighborId", "sim", "rnk")
+    return _recommender(spark, sf_dir).neighbors.select("movieId", "neighborId", _nano("sim").alias("sim"), "rnk")
 
 
 def q_dense_cosine(spark, sf_dir):
-    """5 x cosine of the dense profile row and the dense genre row, for every
-    (content user, unseen item) pair of the content top-N."""
+    """5 x cosine of the user's dense profile row and the item's dense genre row, for every
+    prepared rating of a content user.  Items without genres and users without a profile have
+    a zero row, whose cosine is 0."""
     rec = _recommender(spark, sf_dir)
     c = rec.content
-    vocab = TEST_VIEW_GENRES
-    prof = (c.profile.groupBy("userId")
-            .agg(F.map_from_entries(F.collect_list(F.struct("genre", "weight"))).alias("w")))
-    prof = prof.select("userId", F.transform(F.array(*[F.lit(g) for g in vocab]),
-                                             lambda g: F.coalesce(F.try_element_at("w", g), F.lit(0.0))).alias("pvec"))
-    items = c.item_sigs.select("movieId", multi_hot("genres_arr", vocab).alias("gvec"))
-    top = rec.top_n("content", N).select("userId", "movieId")
-    pairs = top.join(prof, "userId").join(items, "movieId")
-    cos = dense_cosine("pvec", "gvec")
-    return pairs.select("userId", "movieId", from_micro(micro(F.lit(5.0) * cos)).alias("cos5"))
+    prof = c.profile_vectors().select("userId", "pvec")
+    items = rec.catalog.select("movieId").join(c.item_sigs.select("movieId", "genres_arr"), "movieId", "left").select(
+        "movieId", multi_hot(F.coalesce("genres_arr", F.array().cast("array<string>")), TEST_VIEW_GENRES).alias("gvec"))
+    pairs = rec.ratings.select("userId", "movieId").join(prof, "userId").join(items, "movieId")
+    return pairs.select("userId", "movieId", from_micro(micro(F.lit(5.0) * dense_cosine("pvec", "gvec"))).alias("cos5"))
+
+
+def q_nested_lists(spark, sf_dir):
+    """The nested per-user result (user -> ordered list of (title, score)), one row per place."""
+    return flat_view(nested_view(_recommender(spark, sf_dir).top_n("content", N)))
 
 
 def q_seen_pairs(spark, sf_dir):
@@ -171,12 +177,7 @@ def q_all_methods_report(spark, sf_dir):
 
 
 def q_all_methods_topn(spark, sf_dir):
-    rec = _recommender(spark, sf_dir, share_item_scores=True)
-    out = None
-    for m in METHODS:
-        part = rec.top_n(m, N).select(F.lit(m).alias("method"), "*")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return run_all(ratings_view(spark, sf_dir), catalog_view(spark, sf_dir), N, K, TEST_VIEW_GENRES)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -194,6 +195,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "item_similarity": q_item_similarity,
     "item_neighbors": q_item_neighbors,
     "dense_cosine": q_dense_cosine,
+    "nested_lists": q_nested_lists,
     "seen_pairs": q_seen_pairs,
     "unseen_counts": q_unseen_counts,
     "item_based_scores": q_item_based_scores,

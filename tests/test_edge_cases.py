@@ -15,9 +15,9 @@ from cinerank.operators.report import report_lines
 def test_sparse_cosine(frames):
     # {u1: 1, u2: 2} and {u2: 2, u3: 1}: 4 / (sqrt 5 * sqrt 5) = 0.8
     r, _ = frames([(1, 10, 1.0, 0), (2, 10, 2.0, 0), (2, 11, 2.0, 0), (3, 11, 1.0, 0)])
-    sims = {(x.i, x.j): x.sim_micro for x in pair_similarities(r).collect()}
-    assert sims[(10, 11)] == 800000
-    assert sims[(10, 10)] == 1000000
+    sims = {(x.i, x.j): x.sim for x in pair_similarities(r).collect()}
+    assert sims[(10, 11)] == pytest.approx(0.8, abs=1e-15)
+    assert sims[(10, 10)] == pytest.approx(1.0, abs=1e-15)
 
 
 def test_disjoint_raters_have_no_pair(frames):
@@ -37,7 +37,7 @@ def test_self_is_the_only_neighbour_with_k_1(frames):
 def test_weighted_mean(frames):
     # item 1's neighbours 2 (sim .8) and 3 (sim .4); the user rated them 5 and 2
     nb = frames([], None)[0].sparkSession.createDataFrame(
-        [(1, 2, 800000), (1, 3, 400000)], "movieId long, neighborId long, sim_micro long")
+        [(1, 2, 800000), (1, 3, 400000)], "movieId long, neighborId long, w long")
     r, _ = frames([(7, 2, 5.0, 0), (7, 3, 2.0, 0)])
     got = item_based_scores(r, nb).collect()
     assert [(x.userId, x.movieId, x.score_micro) for x in got] == [(7, 1, 4000000)]
@@ -88,6 +88,40 @@ def test_hybrid_blend_cases():
         weight_scale((1.5, 0.4))
 
 
+def test_hybrid_weights_with_many_places(frames):
+    assert weight_scale((1 / 3, 2 / 3)) == (333333, 666667, 1000000)
+    with pytest.raises(ValueError):
+        weight_scale((1e-9, 0.5))
+    r, c = frames([(1, 10, 5.0, 0), (1, 11, 4.0, 0), (2, 10, 5.0, 0), (2, 12, 2.0, 0)],
+                  [(10, "a", "A"), (11, "b", "B"), (12, "c", "A|B")])
+    recs = hybrid_recommendations(r, c, vocabulary=("A", "B"), weights=(1 / 3, 2 / 3)).collect()
+    assert recs and all(0 <= x.score <= 5 for x in recs)
+
+
+def test_trailing_separators_add_no_genre(frames):
+    _, c = frames([], [(1, "a", "A|"), (2, "b", "A|B||")])
+    assert {(x.movieId, x.sig) for x in item_signatures(c, ("A", "B")).collect()} == {(1, "A"), (2, "A|B")}
+
+
+def test_repeated_catalog_ids_count_once(frames):
+    from cinerank.plans.pipeline import Recommender
+    rows = [(u, m, float(1 + (u * m) % 5), u + m) for u in range(1, 7) for m in range(1, 9) if (u + m) % 3]
+    cat = [(m, f"t{m}", "A") for m in range(1, 9)]
+    r, c = frames(rows, cat + [(3, "a", "A"), (3, "t3", "A")])
+    _, once = frames([], cat)
+    for method in ("item_based", "content", "hybrid", "random"):
+        a = sorted(map(tuple, Recommender(r, c, prepared=True, vocabulary=("A",)).top_n(method, 4).collect()))
+        b = sorted(map(tuple, Recommender(r, once, prepared=True, vocabulary=("A",)).top_n(method, 4).collect()))
+        assert a == b
+
+
+def test_dedup_ignores_incomplete_rows(frames):
+    from cinerank.plans.pipeline import Recommender
+    r, c = frames([(1, 10, 4.0, 5), (1, 10, float("nan"), 9), (1, 11, 3.0, 1), (1, 11, None, 8)], [(10, "a", "A")])
+    got = Recommender(r, c, prepared=True, dedup=True, vocabulary=("A",)).ratings.collect()
+    assert sorted((x.movieId, x.rating) for x in got) == [(10, 4.0), (11, 3.0)]
+
+
 def test_hybrid_users_need_a_profile(frames):
     r, c = frames([(1, 10, 5.0, 0), (1, 11, 4.0, 0), (2, 10, 1.0, 0), (2, 11, 2.0, 0), (3, 12, 5.0, 0),
                    (3, 10, 4.0, 0)],
