@@ -37,8 +37,8 @@ from cinerank.session import materialize
 
 BANDS, ROWS = 30, 5
 SKETCH_LONGS = 8
-BLOCK = 512  # members of a block; blocks also hold BLOCK_SHINGLES shingles at most, but for one member
-BLOCK_SHINGLES = 600_000
+BLOCK = 1024  # members of a block; blocks also hold BLOCK_SHINGLES shingles at most, but for one member
+BLOCK_SHINGLES = 1_000_000
 SMALL_ROWS = 1_000_000
 
 _rng = np.random.Generator(np.random.PCG64(5))
@@ -244,15 +244,27 @@ def components(links: DataFrame, name: str = "near-dup", small_rows: int = SMALL
 
 
 def _compare(active: DataFrame, texts: DataFrame, shingle: int, threshold: int, block: int) -> DataFrame:
-    """Joins (a, b) of components among the members of each bucket, by bounded block pairs."""
-    own = active.join(texts.withColumn("w", F.length("text") / 4), "node")
-    weight = own.groupBy("key").agg(F.sum("w").alias("w"), F.max("m").alias("m"))
-    parts = weight.select("key", F.greatest(F.ceil(F.col("m") / block), F.ceil(F.col("w") / BLOCK_SHINGLES), F.lit(1))
-                          .cast("int").alias("parts"))
-    sides = active.join(parts, "key").withColumn("side", F.pmod("turn", F.col("parts")).cast("int"))
-    dealt = sides.select("key", "node", "root", "side", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("o")) \
-        .select("key", "node", "root", "side", F.least("side", "o").alias("s"), F.greatest("side", "o").alias("t")) \
-        .join(texts, "node")
+    """Joins (a, b) of components among the members of each bucket, by bounded block pairs.
+
+    active: key, node, turn, n, root and the bucket's largest component ``major``.  Its members are
+    cut into p parts, the *few* others into q parts (by member hash); block pairs are few x few
+    (s <= t < q) and few x major (t >= q), never major x major, whose members are joined already.
+    """
+    few = F.col("root") != F.col("major")
+
+    def parts(own):
+        return F.greatest(F.lit(1), F.ceil(F.sum(F.when(own, 1).otherwise(0)) / block),
+                          F.ceil(F.sum(F.when(own, F.col("n")).otherwise(0)) / BLOCK_SHINGLES)).cast("int")
+
+    cuts = active.groupBy("key").agg(parts(few).alias("q"), parts(~few).alias("p"))
+    pair = lambda s, t: F.struct(s.alias("s"), t.alias("t"))
+    side = F.when(few, F.pmod("turn", F.col("q"))).otherwise(F.col("q") + F.pmod("turn", F.col("p"))).cast("int")
+    with_few = F.transform(F.sequence(F.lit(0), F.col("q") - 1),
+                           lambda o: pair(F.least(o, F.col("side")), F.greatest(o, F.col("side"))))
+    with_major = F.transform(F.sequence(F.col("q"), F.col("q") + F.col("p") - 1), lambda o: pair(F.col("side"), o))
+    dealt = active.join(cuts, "key").withColumn("side", side) \
+        .withColumn("x", F.explode(F.when(few, F.concat(with_few, with_major)).otherwise(with_few))) \
+        .select("key", "node", "root", "side", "x.s", "x.t").join(texts, "node")
     return dealt.groupBy("key", "s", "t").applyInArrow(_block_links(shingle, threshold), "a long, b long").distinct()
 
 
@@ -281,8 +293,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                                    F.min_by(F.struct("doc_id", "text_key"), F.struct("doc_id", "text_key")).alias("own"),
                                    F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
                                    *[F.first(c).alias(c) for c in sketch]), "near-dup-classes")
-    buckets = reps.select("node", F.explode("bands").alias("key"))
-    crowded = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    buckets = reps.select("node", "n", F.explode("bands").alias("key"))
+    crowded = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key")
     member = materialize(buckets.join(crowded, "key").withColumn("turn", F.xxhash64("key", "node")), "near-dup-members")
     limit = sketch_limit(threshold, bands * rows)
 
@@ -310,13 +322,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         return checked.filter("ok").select("a", "b")
 
     lead = member.groupBy("key").agg(F.min(F.struct("turn", "node")).alias("lead")).select("key", F.col("lead.node").alias("leader"))
-    led = member.join(lead, "key").filter("node <> leader").select("key", "node", "turn", "leader")
+    led = member.join(lead, "key").filter("node <> leader").select("key", "node", "turn", "n", "leader")
     pairs = led.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     label = components(confirmed(screened(pairs)))
 
-    rooted = led.join(label, "node", "left").select("key", "node", "turn", F.coalesce("root", "node").alias("root"))
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m")) \
-        .filter("lo <> hi").select("key", "m")
+    rooted = led.join(label, "node", "left").select("key", "node", "turn", "n", F.coalesce("root", "node").alias("root"))
+    mixed = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("key") \
+        .agg(F.max_by("root", "m").alias("major"), F.count(F.lit(1)).alias("roots")).filter("roots > 1").select("key", "major")
     active = materialize(rooted.join(mixed, "key"), "near-dup-active")
     if not active.isEmpty():
         joins = materialize(_compare(active, texts_of(active.select("node").distinct(), "rest"), shingle, threshold, block),
