@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 BLANK = "▁"
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-KEPT_SEGMENTS = 500_000
+KEPT_SEGMENTS = 1_250_000
 KEPT_PAIRS = 1_000_000
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -101,9 +101,10 @@ class Transducer:
             raise ValueError("a piece joins a blank to what stands before it")
         alone = [chr(c) for c in range(32) if not any(chr(c) in p for p in self.arc)]
         apart = re.escape("".join(alone))
-        self.segment = re.compile(f"{BLANK}*[^{BLANK}{apart}]+|{BLANK}+" + (f"|[{apart}]" if alone else ""))
+        self.segment = re.compile(f" *[^ {apart}]+| +" + (f"|[{apart}]" if alone else ""))
         self.kept: dict[str, bytes] = {}
-        self.pairs: dict[int, bool] = {}  # last << 32 | piece
+        self.n = len(model.pieces)
+        self.pairs: dict[int, bool] = {}  # last * n + piece
         self.out = [self._text_of(i) for i in range(len(model.pieces))]
 
     def __reduce__(self):
@@ -135,7 +136,7 @@ class Transducer:
         known = self._merge(a + b) == ([a, b] if a else [b])
         if len(self.pairs) >= KEPT_PAIRS:
             self.pairs.clear()
-        self.pairs[last << 32 | piece] = known
+        self.pairs[last * self.n + piece] = known
         return known
 
     def _path(self, text: str) -> list[int]:
@@ -144,15 +145,15 @@ class Transducer:
 
     def _merge_path(self, text: str) -> list[int]:
         """Byte-pair weights (0 or infinite): each end has a single state of finite distance."""
-        arc, pairs, longest = self.arc.get, self.pairs.get, self.longest
+        arc, pairs, longest, n = self.arc.get, self.pairs.get, self.longest, self.n
         last = [-1]  # the piece of the finite state at each position
         origin = [0]
         for end in range(1, len(text) + 1):
-            for start in range(end - longest if end > longest else 0, end):
+            for start in range(end - 1, (end - longest if end > longest else 0) - 1, -1):
                 piece = arc(text[start:end])
                 if piece is not None:
                     before = last[start]
-                    zero = pairs(before << 32 | piece)
+                    zero = pairs(before * n + piece)
                     if zero or zero is None and self.may_follow(before, piece):
                         last.append(piece)
                         origin.append(start)
@@ -186,6 +187,7 @@ class Transducer:
         return [self.byte[b] for b in char.encode()] if len(self.byte) == 256 else [self.unknown]
 
     def compose(self, segment: str) -> list[int]:
+        segment = segment.replace(" ", BLANK)
         out: list[int] = []
         start = 0
         for k, char in enumerate(segment):
@@ -195,7 +197,8 @@ class Transducer:
         return out + self._path(segment[start:])
 
     def normalise(self, text: str) -> str:
-        return ((" " if self.model.prefix else "") + text).replace(" ", BLANK) if text else ""
+        """The normaliser's output, its blanks still written as spaces (shorter strings to keep)."""
+        return (" " if self.model.prefix else "") + text.replace(BLANK, " ") if text else ""
 
     def encode(self, text: str) -> np.ndarray:
         """Piece ids (int32) of a text."""
