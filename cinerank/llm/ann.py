@@ -256,17 +256,29 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
                         last = np.partition(r, len(r) - k - 1)[len(r) - k - 1]
                         in_ = in_[r >= last - 1e-9 * max(1.0, abs(last))]
                     got, score = best_of(ids[in_], x[in_], q[at + i], query, k, rough[i][in_])
-                    out += [(query, int(v), float(s)) for v, s in zip(got, score)]
+                    if len(got):
+                        out.append((query, got, score))
         cols = list(zip(*out)) if out else [(), (), ()]
-        return pa.table({"query_id": pa.array(cols[0], pa.int64()), "vec_id": pa.array(cols[1], pa.int64()),
-                         "score": pa.array(cols[2], pa.float64())})
+        return pa.table({"query_id": pa.array(cols[0], pa.int64()), "ids": pa.array(cols[1], pa.list_(pa.int64())),
+                         "scores": pa.array(cols[2], pa.list_(pa.float64()))})
+
+    def merge(t: pa.Table) -> pa.Table:
+        """A query's best over all meetings (at most k from each group it visits)."""
+        best: dict[int, float] = {}
+        for ids, scores in zip(t.column("ids").to_pylist(), t.column("scores").to_pylist()):
+            for v, score in zip(ids, scores):
+                if score > best.get(v, -np.inf):
+                    best[v] = score
+        top = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:k]
+        return pa.table({"query_id": pa.array([t.column("query_id")[0].as_py()] * len(top), pa.int64()),
+                         "rank": pa.array(range(1, len(top) + 1), pa.int32()),
+                         "vec_id": pa.array([v for v, _ in top], pa.int64()),
+                         "score": pa.array([x for _, x in top], pa.float64())})
 
     key = ["tree", "grp", "s", "t"]
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(meet, "query_id long, vec_id long, score double")
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return once.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k) \
-        .select("query_id", "rank", "vec_id", "score")
+    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
+        meet, "query_id long, ids array<long>, scores array<double>")
+    return found.groupBy("query_id").applyInArrow(merge, schema)
 
 
 def _calibrate(own: DataFrame, is_query, forest: Forest, most: float, n_queries: int, k: int, target: float) -> int:
