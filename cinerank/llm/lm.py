@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -87,12 +88,13 @@ def _to_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     open_: dict[int, list] = {}
     size: dict[int, int] = {}
     names = [f.split()[0] for f in CHUNK_SCHEMA.split(", ")]
+    task = TaskContext.get().partitionId()  # equal chunks of two tasks keep two names
     seen: dict[str, int] = {}
 
     def out(role: int) -> pa.RecordBatch:
         row = list(_chunk_row(open_.pop(role), role))
         seen[row[0]] = seen.get(row[0], 0) + 1
-        row[0] = f"{row[0]}-{seen[row[0]]}"
+        row[0] = f"{row[0]}-{task}-{seen[row[0]]}"
         size.pop(role)
         types = [pa.string(), pa.int32(), pa.int32()] + [pa.binary()] * 4
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)

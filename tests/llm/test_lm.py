@@ -84,3 +84,18 @@ def test_empty_and_untrained(docs):
 
     got = lm.score_documents(docs([(1, "a b")]), held_out=F.lit(True)).collect()
     assert [(r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got] == [(True, 3, 0, 0, 0.0)]
+
+
+def test_equal_chunks_of_two_tasks(spark, cases):
+    """A table and its repeat in two tasks: their equal chunks are counted and scored each."""
+    twice = spark.createDataFrame(spark.sparkContext.parallelize(cases * 2, 2), "doc_id long, text string")
+    got = lm.score_documents(twice).collect()
+    tokens = [(i, words_of(t or "", "space") + [None]) for i, t in cases]
+    c = Counter(w for i, ws in tokens * 2 if role(i) != 2 for w in ws)
+    n, v = sum(c.values()), len(c)
+    have = sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got), key=repr)
+    want = sorted(((i, len(ws), sum(c[w] > 0 for w in ws), n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws), 6))
+                   for i, ws in tokens * 2), key=repr)
+    assert have == want
+    once = Counter((r.doc_id, round(r.score, 9)) for r in got)
+    assert all(k % 2 == 0 for k in once.values())
