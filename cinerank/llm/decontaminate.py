@@ -1,10 +1,11 @@
-"""Benchmark decontamination: suffix arrays over the training texts, searched by every test suffix.
+"""Benchmark decontamination: suffix arrays over the training texts, searched by every test window.
 
 Each task turns its documents into shards of a few million words and sorts the word
-suffixes of a shard (prefix doubling, only as deep as the longest test item needs).  Every
-suffix of every test item then narrows an interval of the suffix array word by word with a
-binary search; the interval at the window length holds all verbatim occurrences, and the
-depth at which a position leaves the interval is its longest match.  No document is shuffled.
+suffixes of a shard (prefix doubling, only as deep as a window).  Every distinct window of the
+test items then narrows an interval of the suffix array word by word with a binary search; the
+interval at the window length holds all verbatim occurrences.  An occurrence narrows the interval
+of its window in the suffix array of the items; the depth at which it leaves is its longest
+match.  No document is shuffled, and the items take memory in proportion to their words.
 
 The test items go to every task when their text is under ``max_item_bytes`` (checked);
 a larger benchmark is worked in slices of that size and the slices' hits are merged.
@@ -63,36 +64,60 @@ def suffix_array(words: np.ndarray, depth: int) -> np.ndarray:
 
 
 class TestSuffixes:
-    """All suffixes of the test items as one word matrix, and the windows that begin them."""
+    """The test items' words in one array, its suffix array, and the distinct windows that begin the suffixes.
+
+    Windows are offsets into ``flat`` (a 0 ends each item), so memory grows with the words of the items.
+    """
 
     __test__ = False  # not a test class, whatever pytest thinks of its name
 
     def __init__(self, item_ids: list[str], texts: list[bytes | None], window: int) -> None:
         h, counts = hash_words(texts, "alnum")
-        h = np.where(h == 0, np.uint64(1), h)
-        first = np.concatenate([[0], np.cumsum(counts)])
-        rows: dict[bytes, int] = {}
-        seqs: list[np.ndarray] = []
-        sizes: list[int] = []
-        items: list[set[str]] = []
-        for k, name in enumerate(item_ids):
-            seq = h[first[k]:first[k + 1]]
-            for s in range(len(seq)):
-                own = min(window, len(seq)) if s + min(window, len(seq)) <= len(seq) else 0
-                raw = own.to_bytes(4, "little") + seq[s:].tobytes()
-                if raw not in rows:
-                    rows[raw] = len(seqs)
-                    seqs.append(seq[s:])
-                    sizes.append(own)
-                    items.append(set())
-                if own:
-                    items[rows[raw]].add(name)
-        self.depth = max((len(x) for x in seqs), default=0)
-        self.sizes = np.array(sizes, dtype=np.int64)
-        self.length = np.array([len(x) for x in seqs], dtype=np.int64)
-        self.items = [sorted(x) for x in items]
-        self.flat = np.concatenate(seqs) if seqs else np.zeros(0, np.uint64)
-        self.first = np.concatenate([[0], np.cumsum(self.length)])[:-1].astype(np.int64)
+        begin = np.concatenate([[0], np.cumsum(counts + 1)]).astype(np.int64)
+        self.flat = np.zeros(int(begin[-1]), dtype=np.uint64)
+        inside = np.ones(len(self.flat), dtype=bool)
+        inside[begin[1:] - 1] = False
+        self.flat[inside] = np.where(h == 0, np.uint64(1), h)
+        left = np.repeat(begin[1:] - 1, counts + 1) - np.arange(len(self.flat))  # words up to the item's end
+        own = np.repeat(np.arange(len(counts)), counts + 1)
+        self.names = item_ids
+        # suffixes of a window at least, sorted: those that begin with one window stand together
+        order = suffix_array(self.flat, int(max(counts, default=0)) + 1)
+        self.sorted = order[left[order] >= window]
+        new = np.ones(len(self.sorted), dtype=bool)
+        new[1:] = False
+        for k in range(window):
+            word = self.flat[self.sorted + k]
+            new[1:] |= word[1:] != word[:-1]
+        head = np.flatnonzero(new)
+        self.lo, self.hi = head, np.append(head[1:], len(self.sorted))
+        before = self.flat[self.sorted - 1] if len(self.sorted) else self.flat[:0]
+        self.before = np.where(self.sorted > 0, before, np.uint64(0))  # the word before each suffix
+        turn = np.flatnonzero(np.append(self.before[1:] != self.before[:-1], True)) + 1 if len(before) else head
+        self.same_until = turn[np.searchsorted(turn, np.arange(len(self.sorted)), "right")] if len(before) else head
+        # items below a window are one window each
+        short: dict[bytes, int] = {}
+        first, size, of_short, item = [], [], [], []
+        for k in np.flatnonzero((counts > 0) & (counts < window)).tolist():
+            a, n = int(begin[k]), int(counts[k])
+            at = short.setdefault(self.flat[a:a + n].tobytes(), len(short))
+            if at == len(first):
+                first.append(a)
+                size.append(n)
+            of_short.append(at + len(head))
+            item.append(k)
+        self.first = np.concatenate([self.sorted[head], np.array(first, dtype=np.int64)])
+        self.sizes = np.concatenate([np.full(len(head), window, dtype=np.int64), np.array(size, dtype=np.int64)])
+        n = max(1, len(counts))
+        pair = np.unique(np.concatenate([(np.cumsum(new) - 1) * n + own[self.sorted],
+                                         np.array(of_short, dtype=np.int64) * n + np.array(item, dtype=np.int64)]))
+        self.item = pair % n  # by window; those of window w are item[item_at[w]:item_at[w + 1]]
+        self.item_at = np.searchsorted(pair // n, np.arange(len(self.first) + 1))
+
+    def items_of(self, windows: np.ndarray) -> list[str]:
+        """Ids of the items that hold any of the windows, sorted."""
+        found = {k for w in windows.tolist() for k in self.item[self.item_at[w]:self.item_at[w + 1]].tolist()}
+        return sorted({self.names[k] for k in found})
 
 
 def _bound(words: np.ndarray, order: np.ndarray, lo: np.ndarray, hi: np.ndarray, d: int, q: np.ndarray,
@@ -111,47 +136,63 @@ def _bound(words: np.ndarray, order: np.ndarray, lo: np.ndarray, hi: np.ndarray,
 
 
 def search_shard(words: np.ndarray, tests: TestSuffixes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(position, suffix) of every window occurrence, and (position, length) of the longest matches there."""
+    """(position, window) of every window occurrence, and (position, length) of the longest matches there."""
     none = np.zeros(0, dtype=np.int64)
-    if not len(words) or not tests.depth:
+    if not len(words) or not len(tests.first):
         return none, none, none, none
-    order = suffix_array(words, tests.depth)
-    padded = np.concatenate([words, np.zeros(tests.depth + 1, dtype=np.uint64)])
+    depth = int(tests.sizes.max())
+    order = suffix_array(words, depth)
     first_word = tests.flat[tests.first]
     ranked = words[order]
     lo = np.searchsorted(ranked, first_word, "left")
     hi = np.searchsorted(ranked, first_word, "right")
     live = np.flatnonzero(lo < hi)
     lo, hi = lo[live], hi[live]
-    at, of, ends, lens = [], [], [], []
-
-    def spread(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        n = b - a
-        which = np.repeat(np.arange(len(a)), n)
-        return order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + a[which]], which
-
-    for d in range(1, tests.depth + 1):
+    at, of = [none], [none]
+    for d in range(1, depth + 1):
         whole = tests.sizes[live] == d  # a window of d words is matched
-        if whole.any():
-            p, which = spread(lo[whole], hi[whole])
-            at.append(p)
-            of.append(live[whole][which])
-        more = tests.length[live] > d
-        q = tests.flat[np.where(more, tests.first[live] + d, 0)]
-        new_lo = np.where(more, _bound(padded, order, lo, np.where(more, hi, lo), d, q, False), lo)
-        new_hi = np.where(more, _bound(padded, order, new_lo, np.where(more, hi, new_lo), d, q, True), lo)
-        long = (tests.sizes[live] > 0) & (tests.sizes[live] <= d)
-        if long.any():  # what leaves the interval here matched d words
-            for a, b in ((lo, new_lo), (new_hi, hi)):
-                p, _ = spread(a[long], b[long])
-                ends.append(p)
-                lens.append(np.full(len(p), d))
-        keep = new_lo < new_hi
-        live, lo, hi = live[keep], new_lo[keep], new_hi[keep]
+        n = (hi - lo)[whole]
+        which = np.repeat(np.arange(len(n)), n)
+        at.append(order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + lo[whole][which]])
+        of.append(live[whole][which])
+        live, lo, hi = live[~whole], lo[~whole], hi[~whole]
+        q = tests.flat[tests.first[live] + d]
+        lo = _bound(words, order, lo, hi, d, q, False)
+        hi = _bound(words, order, lo, hi, d, q, True)
+        keep = lo < hi
+        live, lo, hi = live[keep], lo[keep], hi[keep]
         if not len(live):
             break
-    join = lambda x: np.concatenate(x) if x else none
-    return join(at), join(of), join(ends), join(lens)
+    found, window = np.concatenate(at), np.concatenate(of)
+    ends, lens = _longest(words, found, window, tests)
+    return found, window, ends, lens
+
+
+def _longest(words: np.ndarray, at: np.ndarray, of: np.ndarray, tests: TestSuffixes) -> tuple[np.ndarray, np.ndarray]:
+    """(position, length) of matches among which is the longest, first one of every text.
+
+    An occurrence narrows the interval of item suffixes that begin with its window, word by word.
+    If the same word stands before it and before all suffixes of its interval, the match that
+    begins a word earlier is longer, and it needs no look.
+    """
+    short = of >= len(tests.lo)
+    ends, lens = [at[short]], [tests.sizes[of[short]]]
+    at, of = at[~short], of[~short]
+    lo, hi = tests.lo[of], tests.hi[of]
+    before = np.where(at > 0, words[at - 1], np.uint64(0))
+    d = int(tests.sizes[0])
+    while len(at):
+        look = ~((before != 0) & (tests.before[lo] == before) & (tests.same_until[lo] >= hi))
+        at, lo, hi, before = at[look], lo[look], hi[look], before[look]
+        q = words[at + d]
+        new_lo = _bound(tests.flat, tests.sorted, lo, hi, d, q, False)
+        new_hi = _bound(tests.flat, tests.sorted, new_lo, hi, d, q, True)
+        on = (new_lo < new_hi) & (q != 0)  # the rest matched d words
+        ends.append(at[~on])
+        lens.append(np.full(int((~on).sum()), d))
+        at, lo, hi, before = at[on], new_lo[on], new_hi[on], before[on]
+        d += 1
+    return np.concatenate(ends), np.concatenate(lens)
 
 
 def _shard_rows(keys: list, ids: list, texts: list[bytes | None], tests: TestSuffixes) -> pa.RecordBatch:
@@ -172,8 +213,9 @@ def _shard_rows(keys: list, ids: list, texts: list[bytes | None], tests: TestSuf
     doc = np.searchsorted(begin, at, "right") - 1
     items: list[list[str]] = [[] for _ in range(n)]
     pairs = np.unique(np.stack([doc, of], 1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
-    for d, f in pairs.tolist():
-        items[d].extend(tests.items[f])
+    for d in np.unique(pairs[:, 0]).tolist():
+        a, e = np.searchsorted(pairs[:, 0], [d, d + 1])
+        items[d] = tests.items_of(pairs[a:e, 1])
     spans: list[list[int]] = [[] for _ in range(n)]
     if len(hit):
         cut = np.flatnonzero(np.diff(hit, prepend=-2) > 1)
@@ -192,7 +234,7 @@ def _shard_rows(keys: list, ids: list, texts: list[bytes | None], tests: TestSuf
     return pa.RecordBatch.from_arrays([
         pa.array(keys, pa.int64()), pa.array(ids, pa.int64()), pa.array(counts, pa.int64()),
         pa.array(n_hit, pa.int64()), pa.array(spans, pa.list_(pa.int64())),
-        pa.array([sorted(set(x)) for x in items], pa.list_(pa.string())),
+        pa.array(items, pa.list_(pa.string())),
         pa.array(best, pa.int64()), pa.array(where, pa.int64(), mask=where < 0),
     ], names=["row_key", "doc_id", "n_words", "n_hit", "spans", "items", "longest_match", "longest_start"])
 

@@ -1,6 +1,7 @@
 """Suffix-array decontamination against a plain scan."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -77,6 +78,45 @@ def test_longest_match_and_place(spark, docs):
     assert (got[2].longest_match, got[2].longest_start) == (0, None)
 
 
+def test_long_items_take_memory_by_their_words():
+    """An item of 6,000 words has 18 million words in its suffixes (144 MB a copy)."""
+    text = " ".join(f"w{i}" for i in range(6000)).encode()
+    tracemalloc.start()
+    tests = D.TestSuffixes(["a", "b"], [text, b"short one"], 13)
+    rows = D._shard_rows([0, 0], [1, 2], [b"x " + text, b"a w9 short one"], tests)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows.column("longest_match").to_pylist() == [6000, 2] and rows.column("n_hit").to_pylist() == [6000, 2]
+    assert rows.column("items").to_pylist() == [["a"], ["b"]]
+    assert peak < 32 << 20
+
+
+def test_longest_match_by_brute_force():
+    """Small alphabets: repeated windows, items that share passages, matches that begin and end anywhere."""
+    rng = random.Random(8)
+    for window in (1, 3, 5):
+        for _ in range(60):
+            word = lambda n: [rng.choice("ab") for _ in range(rng.randint(0, n))]  # noqa: B023, E731
+            items, texts = [word(14) for _ in range(4)], [word(30) for _ in range(5)]
+            tests = D.TestSuffixes(list("wxyz"), [" ".join(x).encode() for x in items], window)
+            got = D._shard_rows([0] * 5, [0] * 5, [" ".join(x).encode() for x in texts], tests).to_pylist()
+            for text, r in zip(texts, got):
+                best, hit, names = (0, None), set(), set()
+                for name, x in zip("wxyz", items):
+                    least = min(window, len(x))
+                    for s in range(len(x) - least + 1 if x else 0):
+                        for p in range(len(text)):
+                            n = 0
+                            while n < min(len(x) - s, len(text) - p) and x[s + n] == text[p + n]:
+                                n += 1
+                            if n >= least:
+                                hit |= set(range(p, p + least))
+                                names.add(name)
+                                if n > best[0] or (n == best[0] and p < best[1]):
+                                    best = (n, p)
+                assert (r["longest_match"], r["longest_start"], r["n_hit"], r["items"]) == (*best, len(hit), sorted(names))
+
+
 def test_empty_tables(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.contamination(docs([]), none).collect() == []
