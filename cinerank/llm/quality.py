@@ -37,6 +37,7 @@ MIN_STEM_SHARE = 0.9
 #: Common English insults.
 INSULTS = frozenset("clown disgusting idiot loser moron pathetic scum stupid trash worthless".split())
 SYMBOLS = b"#$%&*|!@^~<>{}[]=_+\\/"
+VARIETY_WORDS = 1000  # the share of distinct words is taken in windows of so many words
 
 STYLE = ("shouting", "symbols", "bare_symbols", "stutter", "variety", "endings", "short_words")
 TOXIC = ("insults", "stems_a", "stems_b")
@@ -50,6 +51,11 @@ def _vote(bad: bool, good: bool) -> int:
     return -1 if bad else 1 if good else 0
 
 
+def _variety(words: list[str]) -> float:
+    """Share of distinct words, averaged over the windows of the whole text by their words."""
+    return sum(len(set(words[a:a + VARIETY_WORDS])) for a in range(0, len(words), VARIETY_WORDS)) / len(words)
+
+
 def style_votes(raw: bytes, words: list[str]) -> list[int]:
     """Votes of the style labellers (in the order of ``STYLE``)."""
     n = len(words)
@@ -60,7 +66,7 @@ def style_votes(raw: bytes, words: list[str]) -> list[int]:
     shout = upper / max(1, letters)
     symbol = int((count * _symbol).sum()) / len(raw)
     again = sum(map(operator.eq, words, words[1:])) / n
-    variety = len(set(words)) / n
+    variety = _variety(words)
     lines = [x.rstrip() for x in raw.split(b"\n")]
     lines = [x for x in lines if x]
     ended = sum(x[-1:] in b".!?" for x in lines) / max(1, len(lines))
@@ -71,7 +77,7 @@ def style_votes(raw: bytes, words: list[str]) -> list[int]:
         _vote(symbol > 0.04, symbol < 0.02),
         _vote(bare > 0.1, bare < 0.03),
         0 if n < 8 else _vote(again > 0.2, again < 0.05),
-        0 if n < 40 or n > 20_000 else _vote(variety < 0.35, variety > 0.45),
+        0 if n < 40 else _vote(variety < 0.35, variety > 0.45),
         _vote(ended < 0.3, ended > 0.7),
         0 if n < 20 else _vote(short < 0.12, short > 0.18),
     ]

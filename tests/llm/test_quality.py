@@ -66,6 +66,20 @@ def test_edge_rows(spark, docs, table):
     assert Q.train(df, labels).lexicons.halves == (frozenset(), frozenset())
 
 
+def test_variety_is_judged_by_one_rule_at_every_length():
+    """Forty words in any order are poor, a text that keeps bringing new ones is not, whatever the length."""
+    rng = random.Random(23)
+    at = Q.STYLE.index("variety")
+    few = [f"w{i}" for i in range(40)]
+    for n in (500, 3000, 19_000, 30_000):
+        poor = [rng.choice(few) for _ in range(n)]
+        rich = [f"r{i // 1000}x{rng.randrange(1500)}" for i in range(n)]  # distinct words of the whole text: fewer
+        assert Q.style_votes(" ".join(poor).encode(), poor)[at] == -1
+        assert Q.style_votes(" ".join(rich).encode(), rich)[at] == 1
+    text = [rng.choice(few[:5] + [f"n{i}" for i in range(2500)]) for _ in range(15_000)]  # share of the whole: 0.17
+    assert Q.style_votes(" ".join(text).encode(), text)[at] == 1
+
+
 def test_empty_table(spark, docs):
     df = docs([])
     model = Q.train(df, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
