@@ -271,7 +271,7 @@ def _compare(active: DataFrame, texts: DataFrame, shingle: int, threshold: int,
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     threshold: int = 80, bands: int = BANDS, rows: int = ROWS,
                     block: int = BLOCK) -> DataFrame:
-    """doc_id, text_key, n_shingles, class_id, component_id, kept per document row.
+    """doc_id, text_key, n_shingles, class_id, component_id, kept, root per document row.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` (A-Z lower-cased); a document's set holds its distinct
     ``shingle``-word shingles, or the whole sequence as one if it has fewer words.  Documents with
@@ -279,8 +279,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     reachable, ``class_id`` is the same for equal sets.  Null and wordless texts have an empty set
     and are linked with nothing.  Repeated rows fall into one class and all carry the id; a null id
     is no smallest id (a group of null ids only has a null component).  ``kept`` is doc_id =
-    component_id (null-safe).  ``text_key`` is xxhash64 of the text.  An empty table gives no
-    rows; other columns are not read.
+    component_id (null-safe).  ``text_key`` is xxhash64 of the text.  ``root`` names the group also
+    where ids repeat or are null (null for empty sets).  An empty table gives no rows; other columns are
+    not read.
     """
     sketch = [f"s{i}" for i in range(SKETCH_LONGS)]
     text = F.col(text_col).cast("string")
@@ -342,25 +343,28 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     classes = reps.select("node", "first_id").join(label, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = classes.join(smallest, "root").select("node", "component_id")
+    named = classes.join(smallest, "root").select("node", "root", "component_id")
     rows_ = signed.select("doc_id", "text_key", "n_shingles", "node").join(named, "node", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return rows_.select("doc_id", "text_key", "n_shingles", F.col("node").alias("class_id"),
-                        component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+                        component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "root")
 
 
 def remove_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` (all columns) that stay: one of each duplicate group, the smallest id's.
 
-    Rows are met again by id and text, so of rows that repeat both, one stays; texts without words
-    all stay.
+    Null ids come last; of several texts with the smallest id (or with null ids only) one stays, by the
+    text's hash.  Rows are met again by id and text, so of rows that repeat both, one stays; texts
+    without words all stay.
     """
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     id_, text = F.col(f"c{names.index(id_col)}"), F.col(f"c{names.index(text_col)}")
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    stay = materialize(found.filter("kept").groupBy("doc_id", "text_key")
-                       .agg(F.max("n_shingles").alias("n"), F.count(F.lit(1)).alias("times")), "near-dup-stay")
+    kept = materialize(found.filter("kept").groupBy("doc_id", "text_key").agg(
+        F.max("n_shingles").alias("n"), F.count(F.lit(1)).alias("times"), F.first("root").alias("root")), "near-dup-kept")
+    one = kept.filter("n > 0").groupBy("root").agg(F.min(F.struct("doc_id", "text_key", "n", "times")).alias("own"))
+    stay = materialize(one.select("own.*").unionByName(kept.filter("n = 0").drop("root")), "near-dup-stay")
     keyed = plain.withColumn("__i", id_.cast("long")).withColumn("__k", F.xxhash64(text.cast("string")))
 
     def met(own: DataFrame) -> DataFrame:

@@ -72,6 +72,19 @@ def test_remove_keeps_one_of_each_group(docs, cases):
     assert sorted(got, key=repr) == [i for i, _ in want]
 
 
+def test_remove_keeps_one_of_near_copies_with_null_or_shared_ids(docs):
+    rng = random.Random(21)
+    a, b, c, d = (prose(rng, 200) for _ in range(4))
+    near = lambda t: [t, t + " tail", "head " + t]
+    rows = [(None, t) for t in near(a)] + [(None, a)] + [(5, t) for t in near(b)] + [(9, b + " other tail")] \
+        + [(5, c), (5, c)] + [(None, near(d)[1]), (30, d)] + [(None, None), (None, "")]
+    got = [(r.doc_id, r.text) for r in N.remove_near_duplicates(docs(rows)).collect()]
+    one = {k: [i for i, t in got if t and t in group] for k, group in
+           (("a", near(a)), ("b", near(b) + [b + " other tail"]), ("c", [c]), ("d", near(d)))}
+    assert one == {"a": [None], "b": [5], "c": [5], "d": [30]}
+    assert len(got) == 6 and {(None, None), (None, "")} <= set(got)
+
+
 def test_components_small_and_shuffled(spark):
     rng = random.Random(1)
     links = [(a, a + rng.randint(1, 3)) for a in range(0, 200) if rng.random() < 0.6]
