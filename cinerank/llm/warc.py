@@ -1,7 +1,7 @@
 """Dictionary-compressed WARC archives (.warc.zst).
 
 Each archive starts with a skippable frame (magic 0x184D2A5D) that holds a Zstandard dictionary
-built from its own first records; then every record is one Zstandard frame compressed with that
+built from its own first records (trained, or raw content where there is too little to train on); then every record is one Zstandard frame compressed with that
 dictionary, so a reader needs nothing but the file and can start at any record.
 
 Pages are marked as response or revisit first (payload digests are grouped with map-side
@@ -14,6 +14,7 @@ or repeated attempts are in no manifest and are never read.
 from __future__ import annotations
 
 import base64
+import contextlib
 import hashlib
 import struct
 import uuid
@@ -84,19 +85,26 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
 
 
 def build_dictionary(records: list[bytes]) -> bytes:
-    """A Zstandard dictionary from a bounded sample of records (empty if there is too little to learn)."""
+    """A Zstandard dictionary from a bounded sample of records.
+
+    Few, small or uniform records can't be trained on; the heads of the sample are the dictionary's raw
+    content then (empty only below the 8 bytes that a dictionary takes).
+    """
     sample, size = [], 0
     for r in records:
         if size >= SAMPLE_BYTES:
             break
         sample.append(r[:SAMPLE_BYTES])
         size += len(sample[-1])
-    if len(sample) < 8 or size < 8 * 1024:
-        return b""
-    try:
-        return zstandard.train_dictionary(min(DICTIONARY_BYTES, size // 8), sample, k=256, d=8).as_bytes()
-    except zstandard.ZstdError:  # too uniform to train on
+    if len(sample) >= 8 and size >= 8 * 1024:
+        with contextlib.suppress(zstandard.ZstdError):  # too uniform to train on
+            return zstandard.train_dictionary(min(DICTIONARY_BYTES, size // 8), sample, k=256, d=8).as_bytes()
+    if size < 8:
         return b""
+    heads = [r for r in sample if r][:8]
+    share = max(8, min(DICTIONARY_BYTES, size // 8) // len(heads))
+    raw = b"".join(r[:share] for r in heads)
+    return raw if len(raw) >= 8 else b"".join(sample)[:DICTIONARY_BYTES]
 
 
 def encode_archive(records: list[bytes]) -> bytes:

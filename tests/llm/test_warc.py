@@ -62,6 +62,22 @@ def test_archive_format():
     assert len(data) < sum(len(zstandard.compress(r)) for r in records)
 
 
+def test_archives_of_few_or_uniform_records_have_a_dictionary():
+    """Where training isn't possible the dictionary is raw content; any reader starts at any record."""
+    rng = random.Random(19)
+    make = lambda i, n: warc.record(i, f"http://x/{i}", page(rng, n).encode(), "00" * 20, None)
+    few, one = [make(i, 120) for i in range(5)], [make(1, 30)]
+    uniform = [b"a" * 4000] * 40
+    for records in (few, one, uniform, [make(i, 40_000) for i in range(3)]):
+        data = warc.encode_archive(records)
+        magic, size = struct.unpack_from("<II", data)
+        assert magic == 0x184D2A5D and 0 < size < 1 << 17
+        raw = zstandard.ZstdDecompressor().decompress(data[8:8 + size])
+        own = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw))
+        assert own.decompressobj().decompress(data[8 + size:]) == records[0]
+        assert list(warc.decode_archive(data)) == records
+
+
 def test_few_records_need_no_dictionary():
     assert list(warc.decode_archive(warc.encode_archive([b"one", b"", b"three"]))) == [b"one", b"", b"three"]
     assert list(warc.decode_archive(b"")) == []
