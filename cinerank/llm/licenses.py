@@ -1,7 +1,7 @@
 """Licence scan: an exact set-similarity join of text blocks with licence templates.
 
 A text is cut into overlapping blocks of ``block_words`` words, one every half block, so any
-passage of up to half a block lies whole in some block.  A block matches a template when it
+passage of up to half a block lies whole in some block; blocks grow with the longest template.  A block matches a template when it
 holds at least ``threshold`` of the template's distinct words (containment).  The join is
 exact: words are ordered by their global frequency (number of blocks that hold them, counted
 over all documents in a first pass), rarest first, and
@@ -184,9 +184,11 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     ``match_labels``, ``match_starts`` (first word of the block) and ``match_scores`` (containment)
     list every block with at least ``threshold`` of a template.  Null or wordless texts give empty
     lists; repeated rows give one row each; a null id stays null; other columns are not read; an
-    empty table gives no rows.  Two templates with one label may both match a block.
+    empty table gives no rows.  Two templates with one label may both match a block.  Blocks have
+    ``block_words`` words, or twice the words of the longest template if that is more, so that each
+    template's passage lies whole in some block.
     """
-    stride = max(1, block_words // 2)
+    stride = max(1, block_words // 2, *(len(phrase(text)) for _, text in templates))
     sets = _template_sets(templates)
     vocab = np.unique(np.concatenate([t for _, t in sets])) if sets else np.zeros(0, np.uint64)
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))

@@ -59,3 +59,15 @@ def test_options_and_empty_table(docs):
     r = got.first()
     assert (r.base_starts, r.base_labels, r.match_labels, r.match_scores) == ([1], ["bc"], ["t"], [0.75])
     assert S.scan_licenses(docs([(1, "a")]), templates=(), phrases=()).first().match_labels == []
+
+
+def test_long_templates_match_wherever_they_stand(docs):
+    """Passages of 100 and 300 words, over half a block and over a block, at any offset and with a word missing."""
+    long = {n: " ".join(f"t{n}x{i}" for i in range(n)) for n in (100, 300)}
+    rng = random.Random(24)
+    rows = [(n * 1000 + k, prose(rng, k) + " " + t.replace(f" t{n}x50 ", " ") + " " + prose(rng, 40))
+            for n, t in long.items() for k in range(0, 330, 30)]
+    rows.append((1, " ".join(long[300].split()[:200])))  # two thirds are not enough
+    got = S.scan_licenses(docs(rows), templates=S.TEMPLATES + tuple((str(n), t) for n, t in long.items())).collect()
+    assert {r.doc_id: set(r.match_labels) for r in got} == \
+        {i: {str(i // 1000)} if i > 1 else set() for i, _ in rows}
