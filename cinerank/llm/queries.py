@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinerank.llm import ann, decontaminate, langid, licenses, line_dedup, lm, near_dup, pieces, quality, warc
+from cinerank.llm import ann, decontaminate, langid, licenses, line_dedup, lm, near_dup, pieces, quality, vector_queries, warc
 from cinerank.sources.testdata import load_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,10 +157,12 @@ QUERIES: dict[str, Query] = {
     "op7_nearest_vectors": op7_nearest_vectors,
     "op8_sentencepiece": op8_sentencepiece,
     "op4_quality_classifier": op4_quality_classifier,
+    **vector_queries.QUERIES,
 }
 
 ORACLE: dict[str, str] = {
     "op9_decontamination": OP9_SQL,
     "op3_line_dedup": OP3_SQL,
     "op10_warc_archive": OP10_SQL,
+    **vector_queries.ORACLE,
 }
