@@ -19,6 +19,7 @@ def texts():
     rng = random.Random(15)
     alphabet = "abcdetion  \n▁\t éßñ中文🙂\x00​<s>'"
     out = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 70))) for _ in range(400)]
+    out += ["".join(rng.choice(["ab", "the", " "]) + " " * rng.randint(0, 40) for _ in range(rng.randint(1, 6))) for _ in range(100)]
     return out + [prose(rng, rng.randint(1, 200)) for _ in range(60)] + [
         "", " ", "  ", "<s>", "</s> <unk> <0x0A>", "ab" * 300, "▁▁ ▁", "\n\n", " \n ", "I'm — naïve “q” 12.5 foo_bar==(); // x"]
 
@@ -31,12 +32,40 @@ def test_equals_library(model, texts):
         assert model.decode(ids) == t.replace("▁", " ")
 
 
-def test_bounded_memories_do_not_change_results(texts, monkeypatch):
-    monkeypatch.setattr(pieces, "KEPT_SEGMENTS", 20)
-    monkeypatch.setattr(pieces, "KEPT_PAIRS", 20)
+def test_blocks_do_not_change_results(model, texts, monkeypatch):
+    import pyarrow as pa
+
+    want = model.encode_all(pa.array([None, *texts, None]))
+    assert want[0].as_py() is None and want[1].as_py() == model.encode(texts[0]).tolist()
+    monkeypatch.setattr(pieces, "BLOCK_BYTES", 16)
+    assert model.encode_all(pa.array(["cut off", None, *texts, None]).slice(1)).equals(want)
+
+
+def test_arcs_weigh_zero_exactly_if_merging_gives_both(model):
+    rng = random.Random(16)
+    normal = [i for i, t in enumerate(model.model.types) if t == pieces.NORMAL]
+    pool = [i for i in normal if model._merge(model.model.pieces[i]) == [model.model.pieces[i]]]
+    pairs = [(rng.choice(pool), rng.choice(pool)) for _ in range(2000)] + [(i, i) for i in pool[::40]]
+    for text in ("aaaa", "abab", "tttt", "inin", "thethe", "eeeee", "▁" * 16):  # equal merges side by side
+        pairs += [(model.arc[text[:k]], model.arc[text[k:j]]) for j in range(2, len(text) + 1) for k in range(1, j)
+                  if text[:k] in model.arc and text[k:j] in model.arc]
+    pairs = [p for p in pairs if p[0] in pool and p[1] in pool]
+    got = model.may_follow(pieces.np.array([a for a, _ in pairs]), pieces.np.array([b for _, b in pairs]))
+    for (a, b), zero in zip(pairs, got.tolist()):
+        two = [model.model.pieces[a], model.model.pieces[b]]
+        assert zero == (model._merge("".join(two)) == two), two
+
+
+def test_text_without_blanks_is_one_segment(model):
     library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL_PATH)
-    small = pieces.load()
-    assert all(small.encode(t).tolist() == library.encode(t) for t in texts[:150])
+    rng = random.Random(17)
+    text = "".join(rng.choice("abcdeinorst") for _ in range(40_000))
+    assert model.encode(text).tolist() == library.encode(text)
+
+
+def test_decode_of_any_bytes(model):
+    bytes_ = [model.byte[0xE4], model.byte[0xB8]]
+    assert model.decode(bytes_) == "\ufffd" and model.decode([]) == ""
 
 
 def test_unigram_weights_take_the_shortest_path():
