@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 BLANK = "▁"
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-BATCH_BYTES = 4 << 20  # of text encoded together
-BLOCK_BYTES = 1 << 17  # of distinct segments composed together
+BATCH_BYTES = 1 << 20  # of text encoded together
+BLOCK_BYTES = 1 << 16  # of distinct segments composed together
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -408,26 +408,32 @@ def _sizes(c: pa.Array) -> np.ndarray:
     return pc.fill_null(length, 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def encode(docs: DataFrame, transducer: Transducer, *, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``docs`` with all columns and ``ids`` (array<int>), the pieces of the whole text.
-
-    A null text has null ids, an empty one none.  ``ids_col`` comes last, also if the input has a
-    column of that name.  An empty table gives no rows; repeated rows are encoded each.  A task holds the
-    lattice of ``BLOCK_BYTES`` of distinct segments, or of one segment (text without blanks) if it is longer.
-    """
-    names, at = docs.columns, docs.columns.index(text_col)
-    keys = [f"c{i}" for i in range(len(names))]
-    shared = docs.sparkSession.sparkContext.broadcast(transducer)  # the model file's pieces
+def _apply(rows: DataFrame, transducer: Transducer, of: str, kind: str, steps: list[tuple[str, str]], call) -> DataFrame:
+    """``rows`` with the columns that ``call(transducer, column)`` gives, ``steps`` as (name, type)."""
+    names, at = rows.columns, rows.columns.index(of)
+    keys, more = [f"c{i}" for i in range(len(names))], [f"m{i}" for i in range(len(steps))]
+    shared = rows.sparkSession.sparkContext.broadcast(transducer)  # the model file's pieces
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in _split(whole, _sizes(whole.column(at)), BATCH_BYTES):
-                yield pa.RecordBatch.from_arrays([*b.columns, shared.value.encode_all(b.column(at))], names=[*keys, "ids"])
+                yield pa.RecordBatch.from_arrays([*b.columns, *call(shared.value, b.column(at))], names=[*keys, *more])
 
-    plain = docs.toDF(*keys)
-    plain = plain.withColumn(f"c{at}", F.col(f"c{at}").cast("string"))
-    schema = ", ".join([*(f"{n} {t}" for n, t in plain.dtypes), "ids array<int>"])
-    return plain.mapInArrow(run, schema).toDF(*names, ids_col)
+    plain = rows.toDF(*keys)
+    plain = plain.withColumn(f"c{at}", F.col(f"c{at}").cast(kind))
+    schema = ", ".join([*(f"{n} {t}" for n, t in plain.dtypes), *(f"{m} {t}" for m, (_, t) in zip(more, steps))])
+    return plain.mapInArrow(run, schema).toDF(*names, *(n for n, _ in steps))
+
+
+def encode(docs: DataFrame, transducer: Transducer, *, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+    """``docs`` with all columns and ``ids`` (array<int>), the pieces of the whole text.
+
+    A null text has null ids, an empty one none.  ``ids_col`` comes last, also if the input has a
+    column of that name.  An empty table gives no rows; repeated rows are encoded each.  A task holds
+    about ``BATCH_BYTES`` of text or one longer text, and the lattice of ``BLOCK_BYTES`` of distinct
+    segments or of one longer segment (text without blanks).
+    """
+    return _apply(docs, transducer, text_col, "string", [(ids_col, "array<int>")], lambda t, c: [t.encode_all(c)])
 
 
 def decode(rows: DataFrame, transducer: Transducer, *, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -435,15 +441,15 @@ def decode(rows: DataFrame, transducer: Transducer, *, ids_col: str = "ids", tex
 
     The text is the encoded one with U+2581 read as a blank; ids out of range fail.
     """
-    names, at = rows.columns, rows.columns.index(ids_col)
-    keys = [f"c{i}" for i in range(len(names))]
-    shared = rows.sparkSession.sparkContext.broadcast(transducer)
+    return _apply(rows, transducer, ids_col, "array<int>", [(text_col, "string")], lambda t, c: [t.decode_all(c)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in _split(whole, _sizes(whole.column(at)), BATCH_BYTES):
-                yield pa.RecordBatch.from_arrays([*b.columns, shared.value.decode_all(b.column(at))], names=[*keys, "text"])
 
-    plain = rows.toDF(*keys)
-    schema = ", ".join([*(f"{n} {t}" for n, t in plain.dtypes), "text string"])
-    return plain.mapInArrow(run, schema).toDF(*names, text_col)
+def round_trip(docs: DataFrame, transducer: Transducer, *, text_col: str = "text", ids_col: str = "ids",
+               decoded_col: str = "decoded") -> DataFrame:
+    """``decode`` after ``encode``, in one pass."""
+
+    def both(t: Transducer, c: pa.Array) -> list[pa.Array]:
+        ids = t.encode_all(c)
+        return [ids, t.decode_all(ids)]
+
+    return _apply(docs, transducer, text_col, "string", [(ids_col, "array<int>"), (decoded_col, "string")], both)

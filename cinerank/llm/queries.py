@@ -85,7 +85,7 @@ WITH l AS (
          generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text <> ''),
 u AS (
   SELECT doc_id, i, part, concat(part, line) AS unit FROM l, (VALUES (1), (2)) AS p(part)
-  WHERE trim(line, ' ') <> '' AND (part = 1 OR length(line) >= 100)),
+  WHERE trim(line, ' ') <> '' AND (part = 1 OR length(line) >= 30)),
 w AS (
   SELECT doc_id, i, unit, row_number() OVER o AS j, lead(unit) OVER o AS next_unit, lead(i) OVER o AS next_i
   FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i, part)),
@@ -135,7 +135,7 @@ def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.load()
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = pieces.decode(pieces.encode(docs, model), model)
+    rows = pieces.round_trip(docs, model)
     same = F.col("decoded").eqNullSafe(F.replace("text", F.lit(pieces.BLANK), F.lit(" ")))
     return rows.select("doc_id", F.when(F.col("text").isNotNull(), F.size("ids")).cast("long").alias("n_pieces"),
                        "ids", same.alias("round_trip"))

@@ -85,6 +85,7 @@ def test_frames(spark, docs, model):
     coded = pieces.encode(df, model)
     assert coded.columns == df.columns + ["ids"]
     back = pieces.decode(coded, model)
+    assert sorted(map(repr, pieces.round_trip(df, model).collect())) == sorted(map(repr, back.collect()))
     got = sorted(((r.doc_id, r.text, r.ids is None, r.decoded) for r in back.collect()), key=repr)
     assert got == sorted(((i, t, t is None, t) for i, t in rows), key=repr)
     assert [r.ids for r in coded.filter("doc_id = 2").collect()] == [[]]
