@@ -2,73 +2,86 @@
 
 sim(i, j) = sum_u r_ui * r_uj / (||r_i|| * ||r_j||), norms over *all* ratings of the item.
 
-Plan
-----
-* Squared norms per item and rating counts per user are aggregations with map-side combination,
-  joined back to the ratings (Spark splits a hot item or user in those joins); the table is
-  written once and read by both sides of the self-join.
-* Pairs come from a self-join on the user.  A user with n ratings yields n^2/2 pairs, and
-  one user may hold a large share of the table, so users are split into
-  ``ceil(n / block_size)`` item blocks and joined on (user, block_a, block_b) with
-  block_a <= block_b: a key has at most block_size x block_size pairs, and only users above
-  block_size are replicated (each row once per partner block).
-* Dot products are summed per unordered pair with map-side partial aggregation; with
-  half-star ratings every partial sum is exact.  One division gives the cosine, which is ranked
-  unrounded; as a weight it is an integer in 1e-12 steps (at least 1), which keeps the sums over
-  a few hundred neighbours exact.
-* Mirrored pairs are ranked per item; ``row_number <= K`` is limited inside each map task
-  before the shuffle.  The item itself is one of its K neighbours.
+K nearest items (``item_neighbors``)
+------------------------------------
+No co-rated pair becomes a row.  Items are dealt to *strips* by a hash, so that a strip's items
+have about ``STRIP_PAIRS`` co-rated pairs in all, and every user's ratings travel once, as a list, to
+each strip that holds an item of that user (an inverted index of users).  A task reads its strips in
+order, adds up the dot products of a strip's items in bounded chunks with numpy, and returns only the K
+nearest of each item: rows, shuffles and ranking grow with users x strips and items x K, not with
+the pairs.
+
+* A user above ``block_size`` ratings is cut into blocks of items, and blocks meet in pairs, so no
+  list grows with the user.
+* An item with more pairs than a strip should have gets strips of its own, dealt by user; these
+  return partial dot products, which are summed and ranked as rows (at most items x parts of them).
+
+All pairs (``pair_dots``)
+-------------------------
+A self-join on the user, blocks as above; products are summed per unordered pair with map-side
+combination, and the items' norms join the sums.
+
+With half-star ratings every partial sum is exact.  One division gives the cosine, which is ranked
+unrounded; as a weight it is an integer in 1e-12 steps (at least 1), which keeps the sums over a
+few hundred neighbours exact.  The item itself is one of its K neighbours.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.operators.rank import rated_catalog_items, top_n
+from cinerank.operators.joins import fits_broadcast, maybe_broadcast
+from cinerank.operators.rank import top_n
 from cinerank.session import materialize
 
 DEFAULT_K = 100
 DEFAULT_BLOCK = 1024
 WEIGHT_UNIT = 1e12
+STRIP_PAIRS = 4_000_000  # co-rated pairs of a strip, and of a chunk that a task adds up at once
 
 
-def _rated(ratings: DataFrame) -> DataFrame:
+def _squares():
+    return F.sum(F.col("rating") * F.col("rating"))
+
+
+def _blocked(ratings: DataFrame, block_size: int, cut: bool) -> tuple[DataFrame, bool]:
+    """``userId, movieId, rating, nb, blk``: the user's number of blocks and the item's block; whether
+    any user has several.  Only users above ``block_size`` ratings (at most rows / block_size) are joined back.
+    """
+    heavy = (ratings.groupBy("userId").agg(F.count(F.lit(1)).alias("n_u")).where(F.col("n_u") > block_size)
+             .select("userId", F.ceil(F.col("n_u") / F.lit(block_size)).cast("int").alias("nb")))
+    if cut:
+        heavy = materialize(heavy, "heavy_users")
     r = ratings.select("userId", "movieId", "rating")
-    n2 = r.groupBy("movieId").agg(F.sum(F.col("rating") * F.col("rating")).alias("n2"))
-    n_u = r.groupBy("userId").agg(F.count(F.lit(1)).alias("n_u"))
-    return r.join(n2, "movieId").join(n_u, "userId")
+    if not heavy.limit(1).count():
+        return r.withColumns({"nb": F.lit(1), "blk": F.lit(0)}), False
+    r = r.join(heavy, "userId", "left").withColumn("nb", F.coalesce("nb", F.lit(1)))
+    return r.withColumn("blk", F.pmod(F.xxhash64("movieId"), F.col("nb")).cast("int")), True
 
 
 def item_norms(ratings: DataFrame) -> DataFrame:
     """``movieId, norm`` (L2 norm of the item's ratings)."""
-    return (ratings.groupBy("movieId")
-            .agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("norm")))
+    return ratings.groupBy("movieId").agg(F.sqrt(_squares()).alias("norm"))
 
 
 def pair_dots(ratings: DataFrame, block_size: int = DEFAULT_BLOCK, cut: bool = True) -> DataFrame:
-    """``i, j, dot, n2_i, n2_j`` for co-rated pairs with i <= j (diagonal included)."""
-    r = _rated(ratings)
-    nb = F.greatest(F.lit(1), F.ceil(F.col("n_u") / F.lit(block_size))).cast("int")
-    r = r.withColumn("nb", nb).withColumn("blk", F.pmod(F.xxhash64("movieId"), F.col("nb")).cast("int"))
-    if cut:
-        r = materialize(r, "rated")
+    """``i, j, dot`` for co-rated pairs with i <= j (diagonal included)."""
+    r, _ = _blocked(ratings, block_size, cut)
     left = r.select("userId", F.col("blk").alias("ba"),
                     F.explode(F.sequence(F.col("blk"), F.col("nb") - 1)).alias("bb"),
-                    F.col("movieId").alias("a"), F.col("rating").alias("ra"), F.col("n2").alias("n2a"))
+                    F.col("movieId").alias("a"), F.col("rating").alias("ra"))
     right = r.select("userId", F.col("blk").alias("bb"),
                      F.explode(F.sequence(F.lit(0), F.col("blk"))).alias("ba"),
-                     F.col("movieId").alias("b"), F.col("rating").alias("rb"), F.col("n2").alias("n2b"))
+                     F.col("movieId").alias("b"), F.col("rating").alias("rb"))
     pairs = (left.join(right, ["userId", "ba", "bb"])
              .where((F.col("ba") < F.col("bb")) | (F.col("a") <= F.col("b"))))
-    lo_first = F.col("a") <= F.col("b")
-    return (pairs.select(
-                F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j"),
-                (F.col("ra") * F.col("rb")).alias("p"),
-                F.when(lo_first, F.col("n2a")).otherwise(F.col("n2b")).alias("n2_i"),
-                F.when(lo_first, F.col("n2b")).otherwise(F.col("n2a")).alias("n2_j"))
-            .groupBy("i", "j")
-            .agg(F.sum("p").alias("dot"), F.max("n2_i").alias("n2_i"), F.max("n2_j").alias("n2_j")))
+    return (pairs.select(F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j"), (F.col("ra") * F.col("rb")).alias("p"))
+            .groupBy("i", "j").agg(F.sum("p").alias("dot")))
 
 
 def cosine(dot, n2_i, n2_j):
@@ -83,23 +96,195 @@ def weight(sim):
     return F.when(sim > 0, F.greatest(F.lit(1), F.floor(sim * F.lit(WEIGHT_UNIT) + F.lit(0.5)))).otherwise(F.lit(0)).cast("long")
 
 
+def _with_similarity(dots: DataFrame, n2: DataFrame, i: str, j: str) -> DataFrame:
+    """``i, j, sim`` from ``i, j, dot`` and the items' squared norms (``movieId, n2``)."""
+    side = lambda c: n2.select(F.col("movieId").alias(c), F.col("n2").alias(f"n2_{c}"))
+    return dots.join(side(i), i).join(side(j), j).select(i, j, cosine(F.col("dot"), F.col(f"n2_{i}"), F.col(f"n2_{j}")).alias("sim"))
+
+
 def pair_similarities(ratings: DataFrame, block_size: int = DEFAULT_BLOCK, cut: bool = True) -> DataFrame:
     """``i, j, sim`` for co-rated pairs with i <= j."""
-    d = pair_dots(ratings, block_size, cut)
-    return d.select("i", "j", cosine(F.col("dot"), F.col("n2_i"), F.col("n2_j")).alias("sim"))
+    n2 = ratings.groupBy("movieId").agg(_squares().alias("n2"))
+    return _with_similarity(pair_dots(ratings, block_size, cut), n2, "i", "j")
+
+
+def _item_facts(ratings: DataFrame, catalog: DataFrame) -> DataFrame:
+    """``movieId, n2, work, listed``: squared norm, co-rated pairs of the item, whether the catalog has it."""
+    n_u = ratings.groupBy("userId").agg(F.count(F.lit(1)).alias("n_u"))
+    facts = (ratings.select("userId", "movieId", "rating").join(n_u, "userId")
+             .groupBy("movieId").agg(_squares().alias("n2"), F.sum("n_u").alias("work")))
+    known = catalog.select("movieId", F.lit(True).alias("listed")).distinct()
+    return facts.join(known, "movieId", "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
+
+
+def strip_lists(ratings: DataFrame, facts: DataFrame, strip_pairs: int, block_size: int, cut: bool,
+                small_facts: bool | None = None) -> DataFrame:
+    """``strip, own, a, ra, na, b, rb, nb2``: a user's block of ratings for each strip with an item of it.
+
+    ``a``, ``ra``, ``na``: items, ratings, squared norms; ``own``: the strip of each (null: not in the
+    catalog).  ``b``, ``rb``, ``nb2``: the block that it meets, null for the block itself.  Strips below 0
+    hold a part of the users of items that have more than ``strip_pairs`` pairs.
+    """
+    total, n_facts = facts.agg(F.coalesce(F.sum(F.when(F.col("listed"), F.col("work"))), F.lit(0)), F.count(F.lit(1))).first()
+    strips = max(1, -(-int(total) // strip_pairs))
+    if small_facts is None:
+        small_facts = fits_broadcast(int(n_facts))
+    parts = F.ceil(F.col("work") / F.lit(strip_pairs))
+    alone = -1 - F.pmod(F.xxhash64("movieId", F.pmod(F.xxhash64("userId"), parts)), F.lit(1 << 40))
+    strip = F.when(F.col("work") > strip_pairs, alone).otherwise(F.pmod(F.xxhash64("movieId"), F.lit(strips)))
+    r, any_heavy = _blocked(ratings, block_size, cut)
+    r = r.join(maybe_broadcast(facts, small_facts), "movieId").withColumn("strip", F.when(F.col("listed"), strip).cast("long"))
 
+    def lists_of(rows: DataFrame) -> DataFrame:
+        """One row a user and block: at most about ``block_size`` entries."""
+        return (rows.groupBy("userId", "nb", "blk").agg(F.collect_list(F.struct("movieId", "rating", "n2", "strip")).alias("e"))
+                .select("userId", "nb", "blk", F.col("e.strip").alias("own"), F.col("e.movieId").alias("a"),
+                        F.col("e.rating").alias("ra"), F.col("e.n2").alias("na")))
 
-def item_neighbors(ratings: DataFrame, catalog: DataFrame, k: int = DEFAULT_K,
-                   block_size: int = DEFAULT_BLOCK, cut: bool = True) -> DataFrame:
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("b", "array<bigint>"), ("rb", "array<double>"), ("nb2", "array<double>"))]
+    strips_of = F.explode(F.array_distinct(F.filter("own", lambda x: x.isNotNull()))).alias("strip")
+    cols = ["strip", "own", "a", "ra", "na", "b", "rb", "nb2"]
+    same = lists_of(r).select(strips_of, "own", "a", "ra", "na", *none).select(*cols)
+    if not any_heavy:
+        return same
+    heavy = lists_of(r.where(F.col("nb") > 1))
+    other = heavy.select("userId", F.col("blk").alias("to"), F.col("a").alias("b"), F.col("ra").alias("rb"), F.col("na").alias("nb2"))
+    met = (heavy.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).where(F.col("to") != F.col("blk"))
+           .join(other, ["userId", "to"]))
+    return same.unionByName(met.select(strips_of, "own", "a", "ra", "na", "b", "rb", "nb2").select(*cols))
+
+
+def _numbers(column: pa.Array, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """Flat values and list sizes of a list column."""
+    sizes = np.diff(column.offsets.to_numpy())
+    return column.flatten().to_numpy(zero_copy_only=False).astype(dtype, copy=False), sizes
+
+
+def _add_up(rows: list[tuple]) -> tuple[np.ndarray, ...]:
+    """(a, b, dot, n2 of a, n2 of b) sorted by (a, b), summed over the lists' pairs."""
+    before = np.cumsum([0] + [len(r[-1]) for r in rows[:-1]])  # rows of the blocks before
+    a, ra, na, of_a, b, rb, nb, size_b = (np.concatenate(c) for c in zip(*rows))
+    of_a += np.repeat(before, [len(r[0]) for r in rows])
+    begin_b = np.cumsum(size_b) - size_b  # rows' lists in the joined arrays
+    ids, code = np.unique(np.concatenate([a, b]), return_inverse=True)
+    n2 = np.empty(len(ids))
+    n2[code] = np.concatenate([na, nb])
+    code_a, code_b = code[:len(a)], code[len(a):]
+    each = size_b[of_a]  # partners of every entry of a
+    first = np.cumsum(each) - each
+    at_b = np.arange(int(each.sum())) + np.repeat(begin_b[of_a] - first, each)
+    key = np.repeat(code_a, each) * len(ids) + code_b[at_b]
+    value = np.repeat(ra, each) * rb[at_b]
+    order = np.argsort(key, kind="stable")
+    key, value = key[order], value[order]
+    head = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, dtype=np.int64)
+    dot = np.add.reduceat(value, head) if len(head) else value
+    i, j = key[head] // len(ids), key[head] % len(ids)
+    return ids[i], ids[j], dot, n2[i], n2[j]
+
+
+def _merge(parts: list[tuple]) -> tuple[np.ndarray, ...]:
+    """Sums of several chunks of a strip."""
+    if len(parts) == 1:
+        return parts[0]
+    a, b, dot, na, nb = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((b, a))
+    a, b, dot, na, nb = a[order], b[order], dot[order], na[order], nb[order]
+    head = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+    return a[head], b[head], np.add.reduceat(dot, head), na[head], nb[head]
+
+
+def _nearest(k: int, strip_pairs: int):
+    """Sums each strip's pairs; the K nearest of every item of a whole strip, all sums of a part of one."""
+
+    def out(strip: int, parts: list[tuple]) -> pa.RecordBatch:
+        a, b, dot, na, nb = _merge(parts)
+        if strip < 0:
+            place, value = np.zeros(len(a), dtype=np.int32), dot
+        else:
+            den = np.sqrt(na) * np.sqrt(nb)
+            value = np.divide(dot, den, out=np.zeros(len(dot)), where=den != 0)
+            head = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
+            keep = np.ones(len(a), dtype=bool)
+            for s, e in zip(head, np.append(head[1:], len(a))):
+                if e - s > k:
+                    keep[s:e] = value[s:e] >= np.partition(value[s:e], e - s - k)[e - s - k]
+            a, b, value = a[keep], b[keep], value[keep]
+            order = np.lexsort((b, -value, a))
+            a, b, value = a[order], b[order], value[order]
+            head = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
+            place = np.arange(len(a)) - np.repeat(head, np.diff(np.append(head, len(a)))) + 1
+            a, b, value, place = (x[place <= k] for x in (a, b, value, place))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(value), pa.array(place, pa.int32())],
+                                          names=["movieId", "neighborId", "value", "rnk"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows, pairs, parts = None, [], 0, []
+        for batch in batches:
+            strips = batch.column(0).to_numpy()
+            cuts = np.flatnonzero(np.append(True, strips[1:] != strips[:-1])) if len(strips) else []
+            for s, e in zip(cuts, np.append(cuts[1:], len(strips))):
+                if strips[s] != now:
+                    if rows:
+                        parts.append(_add_up(rows))
+                    if parts:
+                        yield out(now, parts)
+                    now, rows, pairs, parts = strips[s], [], 0, []
+                for at in range(s, e, 256):
+                    more, n = _entries(batch.slice(at, min(256, e - at)), now)
+                    rows.append(more)
+                    pairs += n
+                    if pairs >= strip_pairs:
+                        parts.append(_add_up(rows))
+                        rows, pairs = [], 0
+                        if len(parts) > 4:
+                            parts = [_merge(parts)]
+        if rows:
+            parts.append(_add_up(rows))
+        if parts:
+            yield out(now, parts)
+
+    def _entries(batch: pa.RecordBatch, strip: int) -> tuple[tuple, int]:
+        """One chunk of rows as (a, ra, na, row number of a, b, rb, nb, sizes of b); the number of pairs."""
+        own = batch.column(1).flatten().fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False) == strip
+        a, size = _numbers(batch.column(2), np.int64)
+        ra, na = _numbers(batch.column(3), np.float64)[0], _numbers(batch.column(4), np.float64)[0]
+        row = np.repeat(np.arange(len(size)), size)
+        met = batch.column(5).is_valid().to_numpy(zero_copy_only=False)
+        if met.any():
+            b, size_b = _numbers(batch.column(5), np.int64)
+            rb, nb = _numbers(batch.column(6), np.float64)[0], _numbers(batch.column(7), np.float64)[0]
+            # rows that meet their own block
+            order = np.argsort(np.concatenate([np.repeat(np.flatnonzero(met), size_b[met]), row[~met[row]]]), kind="stable")
+            b, rb, nb = (np.concatenate([x, y[~met[row]]])[order] for x, y in ((b, a), (rb, ra), (nb, na)))
+            size_b = np.where(met, size_b, size)
+        else:
+            b, rb, nb, size_b = a, ra, na, size
+        pairs = int(size_b[row[own]].sum())
+        return (a[own], ra[own], na[own], row[own], b, rb, nb, size_b), pairs
+
+    return run
+
+
+def item_neighbors(ratings: DataFrame, catalog: DataFrame, k: int = DEFAULT_K, block_size: int = DEFAULT_BLOCK,
+                   cut: bool = True, strip_pairs: int = STRIP_PAIRS) -> DataFrame:
     """``movieId, neighborId, sim, w, rnk``: K most similar rated items of every rated catalog
     item (ties: lower id first) and their weights.  Items sharing no rater have similarity 0
     and add nothing to any prediction, so only co-rated pairs are kept."""
-    s = pair_similarities(ratings, block_size, cut)
-    both = s.select(F.explode(F.when(F.col("i") == F.col("j"),
-                                     F.array(F.struct(F.col("i").alias("movieId"), F.col("j").alias("neighborId"))))
-                              .otherwise(F.array(F.struct(F.col("i").alias("movieId"), F.col("j").alias("neighborId")),
-                                                 F.struct(F.col("j").alias("movieId"), F.col("i").alias("neighborId")))))
-                    .alias("p"), "sim").select("p.movieId", "p.neighborId", "sim")
-    ranked = top_n(both, k, "movieId", [F.col("sim").desc(), F.col("neighborId").asc()])
-    rows = ranked.join(rated_catalog_items(ratings, catalog), "movieId", "left_semi")
-    return rows.select("movieId", "neighborId", "sim", weight("sim").alias("w"), F.col("rnk").cast("int").alias("rnk"))
+    facts = _item_facts(ratings, catalog)
+    if cut:
+        facts = materialize(facts, "item_facts")
+    lists = strip_lists(ratings, facts, strip_pairs, block_size, cut)
+    found = (lists.repartition("strip").sortWithinPartitions("strip")
+             .mapInArrow(_nearest(k, strip_pairs), "movieId long, neighborId long, value double, rnk int"))
+    hot = facts.where(F.col("listed") & (F.col("work") > strip_pairs)).limit(1).count()
+    if hot and cut:
+        found = materialize(found, "strip_sums")
+    near = found.where(F.col("rnk") > 0).withColumnRenamed("value", "sim")
+    if hot:
+        sums = found.where(F.col("rnk") == 0).groupBy("movieId", "neighborId").agg(F.sum("value").alias("dot"))
+        n2 = facts.select("movieId", "n2")
+        sims = _with_similarity(sums.select(F.col("movieId").alias("i"), F.col("neighborId").alias("j"), "dot"), n2, "i", "j")
+        ranked = top_n(sims, k, "i", [F.col("sim").desc(), F.col("j").asc()])
+        near = near.unionByName(ranked.select(F.col("i").alias("movieId"), F.col("j").alias("neighborId"), "sim", "rnk"))
+    return near.select("movieId", "neighborId", "sim", weight("sim").alias("w"), F.col("rnk").cast("int").alias("rnk"))

@@ -101,23 +101,26 @@ def preparation_steps(ratings: DataFrame, cut: bool = False) -> list[tuple[str,
 
 
 def prepare_ratings(ratings: DataFrame, cut_input: bool = False) -> DataFrame:
-    """The three cuts with two passes over the item-cut table: one aggregation per user
-    gives both the activity count and the has-a-4-or-5 flag (the user cut removes whole
-    users, so the flag is the same before and after it), one semi join applies both.
+    """The three cuts: one aggregation per item, one per user of the item-cut table and one filter.
 
-    The input is read three times (item counts, user stats, final rows); with
-    ``cut_input`` the cleaned input is first written under the checkpoint folder, so an
-    expensive source (CSV parse, a join) is evaluated once.
+    The user aggregation gives both the activity count and the has-a-4-or-5 flag (the user cut
+    removes whole users, so the flag is the same before and after it).  With ``cut_input`` the
+    cleaned input is written once under the checkpoint folder, and so are the counts per item and
+    per user (one small row a key): thresholds and cuts read those instead of counting again.
     """
-    clean = drop_incomplete(ratings)
-    if cut_input:
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        if not cut_input:
+            return df
         from cinerank.session import materialize
-        clean = materialize(clean, "ratings")
-    by_item = remove_low_activity(clean, "movieId")
+        return materialize(df, name)
+
+    clean = keep(drop_incomplete(ratings), "ratings")
+    items = keep(key_counts(clean, "movieId"), "item_counts")
+    by_item = clean.join(items.where(F.col("cnt") > threshold(items)).select("movieId"), "movieId", "left_semi")
     high = F.max(F.when(truncated("rating").isin(*HIGH_RATINGS), 1).otherwise(0))
-    stats = by_item.groupBy("userId").agg(F.count(F.lit(1)).alias("cnt"), high.alias("high"))
-    keep = stats.where((F.col("cnt") > threshold(stats.select("userId", "cnt"))) & (F.col("high") == 1)).select("userId")
-    return by_item.join(keep, "userId", "left_semi")
+    users = keep(by_item.groupBy("userId").agg(F.count(F.lit(1)).alias("cnt"), high.alias("high")), "user_counts")
+    active = users.where((F.col("cnt") > threshold(users.select("userId", "cnt"))) & (F.col("high") == 1))
+    return by_item.join(active.select("userId"), "userId", "left_semi")
 
 
 def _step_key(step: str) -> str:

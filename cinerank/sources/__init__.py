@@ -5,6 +5,9 @@ from cinerank.sources.files import (
     RATINGS_COLUMNS,
     read_catalog,
     read_ratings,
+    reject_counts,
+    rejected_catalog,
+    rejected_ratings,
 )
 from cinerank.sources.sinks import write_recommendations, write_report
 from cinerank.sources.testdata import catalog_view, load_tables, ratings_view
@@ -14,6 +17,9 @@ __all__ = [
     "RATINGS_COLUMNS",
     "read_catalog",
     "read_ratings",
+    "reject_counts",
+    "rejected_catalog",
+    "rejected_ratings",
     "write_recommendations",
     "write_report",
     "catalog_view",
