@@ -1,17 +1,19 @@
 """Line dedup by winnowing over line hashes, in DataFrame functions only.
 
 A document is a sequence of *units*: every line that is not blank is one unit, a line of at
-least ``long_chars`` characters two (so one repeated long line is a run by itself).  Among the
-hashes of every ``window`` consecutive units the smallest is selected as a fingerprint, so a
-run of ``window`` units that stands in two places has the same fingerprint at the same offset
-in both.
+least ``long_chars`` characters (several words) two, so one repeated line of that length is a run by
+itself.  Among the hashes of every ``window`` consecutive units the smallest is selected as a
+fingerprint; neighbouring windows mostly select the same one, and a run of ``window`` units that
+stands in two places has the same fingerprint at the same offset in both.
 
-1. winnow: (fingerprint, its position) of every window, written once;
-2. join positions: fingerprints that stand at two positions or more (a map-side combined
-   minimum and maximum, whatever their number), joined back to the windows that chose them;
-3. extend: a matched fingerprint is extended both ways to every window around it; equal
-   windows are grouped by hash and all but the first (by id, then position) repeat it;
-4. delete the lines of all repeating windows; longer runs are the union of their windows.
+1. winnow: one row for each *selected* unit, with the windows that selected it; written once;
+2. join positions: rows whose fingerprint stands at two positions or more (a map-side combined
+   minimum and maximum, whatever their number) stay, all others go;
+3. extend: a matched fingerprint grows both ways over the windows that selected it, whose hashes
+   tell with which other places it agrees; the place that comes first (by id, then position) keeps the
+   window, all later ones repeat it.  Where a run goes on, the next fingerprint goes on with it, so
+   the windows of a place add up to its maximal runs;
+4. delete the lines of the later runs.
 
 So a line is deleted exactly if it lies in a run of ``window`` units that stands earlier, and a
 frequent line never meets all its copies pairwise.
@@ -25,7 +27,20 @@ from pyspark.sql import functions as F
 from cinerank.session import materialize
 
 WINDOW = 2
-LONG_CHARS = 100
+LONG_CHARS = 30
+
+
+def _winnow(units: DataFrame, w: int) -> DataFrame:
+    """``doc_id, text_key, at, fp, windows`` of the selected units only (``at``: place, ``fp``: hash); a window
+    has its place ``j``, the hash ``run`` of its units and their ``lines``."""
+    chosen = units.withColumn("chosen", F.expr(f"""
+        transform(sequence(0, size(u) - {w}), j -> cast(j + array_position(
+            slice(u.h, j + 1, {w}), array_min(slice(u.h, j + 1, {w}))) - 1 AS int))"""))
+    return chosen.select("doc_id", "text_key", F.expr(f"""
+        inline(transform(array_distinct(chosen), p -> named_struct(
+            'at', p, 'fp', u.h[p], 'windows', transform(
+                filter(sequence(greatest(0, p - {w} + 1), least(p, size(u) - {w})), j -> chosen[j] = p),
+                j -> named_struct('j', j, 'run', xxhash64(slice(u.h, j + 1, {w})), 'lines', slice(u.i, j + 1, {w}))))))"""))
 
 
 def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -44,16 +59,11 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
               THEN array(named_struct('i', i, 'h', xxhash64(x)), named_struct('i', i, 'h', xxhash64(x, 2)))
             ELSE array(named_struct('i', i, 'h', xxhash64(x))) END))""").alias("u")) \
         .filter(F.size("u") >= window)
-    windows = units.select("doc_id", "text_key", F.expr(f"""
-        inline(transform(sequence(0, size(u) - {int(window)}), j -> named_struct(
-            'j', j, 'hashes', slice(u.h, j + 1, {int(window)}), 'lines', slice(u.i, j + 1, {int(window)}))))"""))
-    fingerprint = F.array_min("hashes")
-    chosen = materialize(windows.select(
-        "doc_id", "text_key", "j", "lines", F.xxhash64("hashes").alias("run"), fingerprint.alias("fp"),
-        (F.col("j") + F.array_position("hashes", fingerprint) - 1).alias("at")), "line-windows")
+    w = int(window)
+    chosen = materialize(_winnow(units, w), "line-fingerprints")
     place = F.struct("doc_id", "text_key", "at")
     again = chosen.groupBy("fp").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).filter("lo <> hi").select("fp")
-    matched = chosen.join(again, "fp", "left_semi")
+    matched = chosen.join(again, "fp", "left_semi").select("doc_id", "text_key", F.inline("windows"))
     where = F.struct("doc_id", "text_key", "j")
     runs = matched.groupBy("run").agg(F.min(where).alias("lo"), F.max(where).alias("hi")).filter("lo <> hi")
     later = matched.join(runs.select("run", "lo"), "run").filter(~where.eqNullSafe(F.col("lo")))

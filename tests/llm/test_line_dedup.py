@@ -66,6 +66,30 @@ def test_single_long_line_and_single_short_line(docs):
     assert got[1] == rows[0][1] and got[2] == f"d\ne\n{short}\nf"
 
 
+def test_one_line_of_several_words_is_a_run(docs):
+    line = "Terms apply to every visit here"
+    rows = [(i, f"start {i}\n{line}\nend {i}") for i in range(4)]
+    got = {r.doc_id: r.text for r in L.dedup_lines(docs(rows)).collect()}
+    assert got[0] == rows[0][1] and all(got[i] == f"start {i}\nend {i}" for i in range(1, 4))
+
+
+def test_only_selected_minima_are_written_and_decide(docs, monkeypatch):
+    """Fewer rows than windows, each selected by its windows; without the fingerprints nothing is found."""
+    rng = random.Random(10)
+    text = "\n".join(prose(rng, 3) for _ in range(900))
+    rows = [(1, text), (2, "before\n" + text + "\nafter")]
+    written = {}
+    real = L.materialize
+    monkeypatch.setattr(L, "materialize", lambda df, name: written.setdefault(name, real(df, name)))
+    got = {r.doc_id: r.text for r in L.dedup_lines(docs(rows), long_chars=10_000).collect()}
+    assert got == {1: text, 2: "before\nafter"}
+    table = written["line-fingerprints"]
+    windows = 899 + 901
+    assert table.count() < 0.72 * windows and table.selectExpr("sum(size(windows))").first()[0] == windows
+    monkeypatch.setattr(L, "materialize", lambda df, name: real(df.withColumn("fp", L.F.expr("xxhash64(doc_id, at)")), name))
+    assert all(r.n_removed == 0 for r in L.dedup_lines(docs(rows)).collect())
+
+
 def test_columns_and_empty_table(docs):
     df = docs([(1, "a\nb"), (2, "a\nb")], extra=True)
     out = L.dedup_lines(df)
