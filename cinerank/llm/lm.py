@@ -12,9 +12,12 @@ Data flow (no vocabulary or n-gram table is ever broadcast or collected):
 1. texts become *chunks* of about ``CHUNK_BYTES`` (local word ids plus the local vocabulary's
    hashes), written once; each chunk is wholly slice, other training or held-out text;
 2. every chunk sends its distinct words and word pairs (64-bit hashes, byte planes of sorted
-   differences) with its counts to hash buckets; a bucket merges the counts of all chunks and
-   answers every chunk with its keys' totals, in the chunk's own key order, so answers are
-   small integers without keys.  A frequent word is one key per chunk, so nothing is skewed;
+   differences) with its counts to at most ``FAN`` hash ranges.  Up to ``FAN`` chunks meet a range at
+   once; the range merges their counts and answers every chunk with its keys' totals, in the chunk's own
+   key order, so answers are small integers without keys.  More chunks meet in levels: a group of
+   chunks merges each range, cuts it into ``FAN`` smaller ones and sends those on like a chunk, and
+   answers come back the same way.  So a chunk or group has ``FAN`` rows on every level, and all
+   rows grow with the input.  A frequent word is one key per chunk, so nothing is skewed;
 3. the slice chunks meet their answers and give a histogram of (bucket, log10 of both
    estimates, to 1/50); its size is fixed, and EM runs on it;
 4. all chunks meet their answers and every document is scored.
@@ -36,6 +39,8 @@ from cinerank.llm.text import as_bytes, hash_words, mix, pack_sorted, unpack_sor
 from cinerank.session import materialize
 
 CHUNK_BYTES = 4 << 20
+FAN = 256  # hash ranges that one chunk or group sends to, and chunks or groups that meet in one
+RANGE_BYTES = 2 << 20  # of keys that a last range merges, about
 CONTEXT_BUCKETS = 24
 BINS = 50  # histogram bins per decade
 FLOOR = -12.0  # log10 below which an estimate counts as zero
@@ -59,13 +64,14 @@ def _unzip(raw: bytes, dtype) -> np.ndarray:
 
 
 def _planes(a: np.ndarray) -> bytes:
-    """Small integers as compressed byte planes."""
-    return _zip(np.ascontiguousarray(a.astype("<u4").view(np.uint8).reshape(-1, 4).T))
+    """Whole numbers as compressed byte planes: four of them, or eight if a number needs more."""
+    width = 4 if not len(a) or int(a.max()) < 1 << 32 else 8
+    return bytes([width]) + _zip(np.ascontiguousarray(a.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T))
 
 
 def _from_planes(raw: bytes) -> np.ndarray:
-    planes = _unzip(raw, np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+    planes = _unzip(raw[1:], np.uint8).reshape(raw[0], -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{raw[0]}").ravel()
 
 
 def _chunk_row(rows: list[tuple], role: int) -> tuple:
@@ -137,13 +143,25 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
         yield batch.slice(i, 1).to_pylist()[0]
 
 
-def _bucket_cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Ascending keys are cut into ``buckets`` equal ranges of the hash space."""
-    edges = (np.arange(1, buckets, dtype=object) * (1 << 64) // buckets).astype(np.uint64)
+def _range_cuts(keys: np.ndarray, first: int, fan: int, level: int) -> np.ndarray:
+    """Ascending keys of range ``first`` (of fan^level) are cut into its ``fan`` ranges of the next level."""
+    whole = fan ** (level + 1)
+    edges = np.array([(first * fan + j) * (1 << 64) // whole for j in range(1, fan)], dtype=np.uint64)
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
-def _requests(buckets: int):
+def _pieces(unit: str, first: int, fan: int, level: int, keys: np.ndarray, totals: np.ndarray, slices: np.ndarray) -> pa.RecordBatch:
+    """What a chunk or group sends: a row for each of its ranges that holds a key."""
+    cut = _range_cuts(keys, first, fan, level)
+    own = [(k, cut[k], cut[k + 1]) for k in np.flatnonzero(np.diff(cut)).tolist()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([unit] * len(own), pa.string()), pa.array([first * fan + k for k, _, _ in own], pa.int64()),
+         pa.array([pack_sorted(keys[a:e]) for _, a, e in own], pa.binary()),
+         pa.array([_planes(totals[a:e]) for _, a, e in own], pa.binary()),
+         pa.array([_planes(slices[a:e]) for _, a, e in own], pa.binary())], names=["unit", "range", "keys", "totals", "slices"])
+
+
+def _requests(fan: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in _rows(b):
@@ -152,54 +170,101 @@ def _requests(buckets: int):
                 n = np.concatenate([np.bincount(local, minlength=len(wk)), np.bincount(place, minlength=len(pk))])
                 by = np.argsort(keys, kind="stable")
                 keys, n = keys[by], n[by] * (r["role"] != HELD_OUT)
-                cut = _bucket_cuts(keys, buckets)
-                chunk, bucket, role, raw, count = [], [], [], [], []
-                for k in np.flatnonzero(np.diff(cut)).tolist():
-                    a, e = cut[k], cut[k + 1]
-                    chunk.append(r["chunk"])
-                    bucket.append(k)
-                    role.append(r["role"])
-                    raw.append(pack_sorted(keys[a:e]))
-                    count.append(_planes(n[a:e]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(chunk, pa.string()), pa.array(bucket, pa.int32()), pa.array(role, pa.int32()),
-                     pa.array(raw, pa.binary()), pa.array(count, pa.binary())],
-                    names=["chunk", "bucket", "role", "keys", "counts"])
+                yield _pieces(r["chunk"], 0, fan, 0, keys, n, n * (r["role"] == SLICE))
 
     return run
 
 
-REQUEST_SCHEMA = "chunk string, bucket int, role int, keys binary, counts binary"
-ANSWER_SCHEMA = "chunk string, bucket int, totals binary, slices binary, tokens long, types long"
+PIECE_SCHEMA = "unit string, range long, keys binary, totals binary, slices binary"
+ANSWER_SCHEMA = "unit string, range long, totals binary, slices binary, tokens long, types long"
 
 
-def _answer(asked: pa.Table) -> pa.Table:
-    """Totals over all chunks for the keys of one bucket, in each chunk's own order."""
-    rows = asked.to_pylist()
+def _merged(sent: pa.Table) -> tuple[list[dict], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, first key of each row, place of every row's keys among the merged ones, merged keys, totals, slices)."""
+    rows = sent.to_pylist()
     keys = [unpack_sorted(r["keys"]) for r in rows]
-    counts = [_from_planes(r["counts"]).astype(np.int64) for r in rows]
     every, at = np.unique(np.concatenate(keys), return_inverse=True)
-    own = np.repeat(np.array([r["role"] for r in rows]), [len(k) for k in keys])
-    flat = np.concatenate(counts)
-    total = np.bincount(at, flat, len(every)).astype(np.int64)
-    part = np.bincount(at, flat * (own == SLICE), len(every)).astype(np.int64)
+    add = lambda name: np.bincount(
+        at, np.concatenate([_from_planes(r[name]) for r in rows]).astype(np.int64), len(every)).astype(np.int64)
+    return rows, np.concatenate([[0], np.cumsum([len(k) for k in keys])]), at, every, add("totals"), add("slices")
+
+
+def _replies(rows: list[dict], first: np.ndarray, at: np.ndarray, every: np.ndarray, total: np.ndarray, part: np.ndarray,
+             last: bool) -> pa.Table:
+    """The merged counts for each row's keys, in its own order; the last level also counts tokens and types once."""
     word = every & np.uint64(1) == 0
-    first = 0
     out = []
-    for i, (r, k) in enumerate(zip(rows, keys)):
-        mine = at[first:first + len(k)]
-        first += len(k)
-        out.append((r["chunk"], r["bucket"], _planes(total[mine]), _planes(part[mine]),
-                    int(total[word].sum()) if i == 0 else 0, int((total[word] > 0).sum()) if i == 0 else 0))
-    types = [pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
-    names = ["chunk", "bucket", "totals", "slices", "tokens", "types"]
+    for i, r in enumerate(rows):
+        mine = at[first[i]:first[i + 1]]
+        facts = (int(total[word].sum()), int((total[word] > 0).sum())) if last and i == 0 else (0, 0)
+        out.append((r["unit"], r["range"], _planes(total[mine]), _planes(part[mine]), *facts))
+    types = [pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+    names = ["unit", "range", "totals", "slices", "tokens", "types"]
     return pa.Table.from_arrays([pa.array(v, t) for v, t in zip(zip(*out), types)], names=names)
 
 
+def _answer(sent: pa.Table) -> pa.Table:
+    """The last level: totals over all chunks for the keys of one range."""
+    return _replies(*_merged(sent), last=True)
+
+
+def _send_on(fan: int, level: int):
+    """A group merges one range and sends it on in smaller ranges."""
+
+    def run(sent: pa.Table) -> pa.Table:
+        _, _, _, every, total, part = _merged(sent)
+        unit, first = str(sent.column("grp")[0].as_py()), sent.column("range")[0].as_py()
+        return pa.Table.from_batches([_pieces(unit, first, fan, level + 1, every, total, part)])
+
+    return run
+
+
+def _pass_back(sent: pa.Table, back: pa.Table) -> pa.Table:
+    """A group gives the answers for its merged range to those who sent it."""
+    if not sent.num_rows:
+        return _replies_schema()
+    rows, first, at, every, _, _ = _merged(sent)
+    answers = sorted(back.to_pylist(), key=lambda r: r["range"])
+    total = np.concatenate([_from_planes(r["totals"]) for r in answers]).astype(np.int64)
+    part = np.concatenate([_from_planes(r["slices"]) for r in answers]).astype(np.int64)
+    return _replies(rows, first, at, every, total, part, last=False)
+
+
+def _replies_schema() -> pa.Table:
+    return pa.table({"unit": pa.array([], pa.string()), "range": pa.array([], pa.int64()), "totals": pa.array([], pa.binary()),
+                     "slices": pa.array([], pa.binary()), "tokens": pa.array([], pa.int64()), "types": pa.array([], pa.int64())})
+
+
+def exchange(chunks: DataFrame, n_chunks: int, ranges: int) -> tuple[DataFrame, int, int]:
+    """(answers ``unit, range, totals, slices`` for every chunk, training tokens, types).
+
+    ``ranges``: how many ranges the last level should have at least.
+    """
+    wanted, levels = max(8, n_chunks, ranges), 1
+    while FAN ** levels < wanted:
+        levels += 1
+    fan = min(f for f in range(2, FAN + 1) if f ** levels >= wanted)
+    sent = chunks.select("chunk", "role", "words", "vocab").mapInArrow(_requests(fan), PIECE_SCHEMA)
+    tables, units = [], n_chunks
+    for level in range(levels - 1):
+        groups = max(1, -(-units // fan))
+        sent = materialize(sent, "lm-pieces").withColumn("grp", F.pmod(F.xxhash64("unit"), F.lit(groups)))
+        tables.append(sent)
+        sent, units = sent.groupBy("grp", "range").applyInArrow(_send_on(fan, level), PIECE_SCHEMA), groups
+    answers = materialize(sent.groupBy("range").applyInArrow(_answer, ANSWER_SCHEMA), "lm-answers")
+    size = answers.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
+    for sent in reversed(tables):
+        back = answers.select(F.col("unit").cast("long").alias("grp"), F.floor(F.col("range") / fan).cast("long").alias("of"),
+                              "range", "totals", "slices")
+        answers = materialize(sent.groupBy("grp", "range").cogroup(back.groupBy("grp", "of"))
+                              .applyInArrow(_pass_back, ANSWER_SCHEMA), "lm-answers")
+    return answers, int(size[0]), int(size[1])
+
+
 def _counts_of(r: dict) -> tuple[np.ndarray, ...]:
     """Per token of a chunk: c(word), c(context), c(pair), and the same within the slice."""
     wk, local, pk, place, context = _chunk_keys(r["words"], r["vocab"])
-    answers = sorted(r["answers"], key=lambda a: a["bucket"])
+    answers = sorted(r["answers"], key=lambda a: a["range"])
     total = np.concatenate([_from_planes(a["totals"]) for a in answers]).astype(np.float64)
     part = np.concatenate([_from_planes(a["slices"]) for a in answers]).astype(np.float64)
     by = np.argsort(np.concatenate([wk, pk]), kind="stable")
@@ -299,16 +364,12 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).cast("long").alias("i"), role.cast("int").alias("r"),
                        F.col(text_col).cast("string").alias("t"))
     chunks = materialize(rows.mapInArrow(_to_chunks, CHUNK_SCHEMA), "lm-chunks")
-    total = chunks.agg(F.coalesce(F.sum(F.length("words") + F.length("vocab")), F.lit(0))).first()[0]
-    buckets = max(8, int(total // (2 << 20)))  # a bucket merges a few MB of keys
-    asked = chunks.select("chunk", "role", "words", "vocab").mapInArrow(_requests(buckets), REQUEST_SCHEMA)
-    answers = materialize(asked.groupBy("bucket").applyInArrow(_answer, ANSWER_SCHEMA), "lm-answers")
-    size = answers.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
-    tokens, types = int(size[0]), int(size[1])
+    total, n_chunks = chunks.agg(F.coalesce(F.sum(F.length("words") + F.length("vocab")), F.lit(0)), F.count(F.lit(1))).first()
+    answers, tokens, types = exchange(chunks, int(n_chunks), int(total // RANGE_BYTES))
 
     def met(own: DataFrame) -> DataFrame:
-        back = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "totals", "slices")).alias("answers"))
-        return own.join(back, "chunk")
+        back = answers.groupBy("unit").agg(F.collect_list(F.struct("range", "totals", "slices")).alias("answers"))
+        return own.join(back.withColumnRenamed("unit", "chunk"), "chunk")  # at most FAN answers a chunk
 
     own = met(chunks.filter(F.col("role") == SLICE))
     slice_tokens = chunks.filter(F.col("role") == SLICE).mapInArrow(_n_tokens, "n long") \

@@ -25,8 +25,10 @@ def cases():
                    (503, "of the and " * 4000)]
 
 
-def test_base_score_and_counts(docs, cases, monkeypatch):
+@pytest.mark.parametrize("fan", [256, 4])
+def test_base_score_and_counts(docs, cases, monkeypatch, fan):
     monkeypatch.setattr(lm, "CHUNK_BYTES", 2000)  # many chunks
+    monkeypatch.setattr(lm, "FAN", fan)  # one level, several levels
     tokens = [(i, words_of(t or "", "space") + [None]) for i, t in cases]
     c = Counter(w for i, ws in tokens if role(i) != 2 for w in ws)
     n, v = sum(c.values()), len(c)
@@ -38,6 +40,29 @@ def test_base_score_and_counts(docs, cases, monkeypatch):
     assert all(r.score < 0 for r in got)
 
 
+def test_rows_grow_with_the_chunks(spark, docs, monkeypatch):
+    """However many chunks there are, each has at most FAN rows on a level, and levels give the same counts."""
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 600)
+    rng = random.Random(31)
+    rows = [(i, prose(rng, 60)) for i in range(240)]
+    whole = {r.doc_id: (r.n_known, r.base_score, r.score) for r in lm.score_documents(docs(rows)).collect()}
+    monkeypatch.setattr(lm, "FAN", 5)
+    written: dict[str, list] = {}
+    real = lm.materialize
+    monkeypatch.setattr(lm, "materialize", lambda df, name: (written.setdefault(name, []).append(real(df, name)), written[name][-1])[1])
+    levels = {r.doc_id: (r.n_known, r.base_score, r.score) for r in lm.score_documents(docs(rows)).collect()}
+    assert levels.keys() == whole.keys()
+    assert all(levels[i][0] == whole[i][0] and levels[i][1:] == pytest.approx(whole[i][1:], rel=1e-12) for i in whole)
+    n = written["lm-chunks"][0].count()
+    assert n > 60 and len(written["lm-pieces"]) >= 2
+    assert all(table.count() <= 1.5 * 5 * n for table in written["lm-pieces"] + written["lm-answers"])
+
+
+def test_counts_beyond_32_bits():
+    for a in ([], [0, 5, (1 << 32) - 1], [1 << 32, 3, 1 << 50]):
+        assert lm._from_planes(lm._planes(np.array(a, dtype=np.int64))).tolist() == a
+
+
 def test_model_score_equals_formula(docs, cases):
     """The score is that of the interpolation formula with the learned weights."""
     tokens = [(i, words_of(t or "", "space") + [None]) for i, t in cases]
