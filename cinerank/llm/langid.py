@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinerank.llm.text import as_bytes
@@ -157,9 +157,14 @@ class LanguageModel:
 
 def train(rows: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           clusters: int = CLUSTERS, sample_rows: int = SAMPLE_ROWS, quantile: float = REJECT_QUANTILE) -> LanguageModel:
-    """Learns from the rows of ``rows`` that have a text and a language."""
-    rows = rows.select(F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(lang_col).cast("string").alias("lang"),
-                       F.col(text_col).cast("string").alias("text")).filter("lang is not null and text is not null")
+    """Learns from the rows of ``rows`` that have a text and a language.
+
+    Centroids are fitted on at most ``sample_rows`` rows of a language, by the hash of id and text; rows
+    that repeat both are one there, so null or shared ids never make a larger group.
+    """
+    rows = rows.select(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string")).alias("h"),
+                       F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")) \
+        .filter("lang is not null and text is not null")
     slots = rows.select("text").mapInArrow(_frequencies, "slot long, df long") \
         .groupBy("slot").agg(F.sum("df").alias("df")).collect()  # DIM + 1 rows
     df = np.zeros(DIM + 1)
@@ -169,7 +174,10 @@ def train(rows: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     share = rows.groupBy("lang").count().withColumn("share", F.least(F.lit(1.0), F.lit(float(sample_rows)) / F.col("count")))
     if share.count() <= MAX_SHARED_LANGS:  # one small row per language; beyond, they meet by a shuffle
         share = F.broadcast(share)
-    sample = rows.join(share, "lang").filter(F.pmod("h", F.lit(1_000_003)) < F.col("share") * 1_000_003)
+    sample = rows.join(share, "lang").filter(F.pmod("h", F.lit(1_000_003)) < F.col("share") * 1_000_003) \
+        .groupBy("lang", "h").agg(F.first("text").alias("text"))
+    by_hash = Window.partitionBy("lang").orderBy("h")
+    sample = sample.withColumn("r", F.row_number().over(by_hash)).filter(F.col("r") <= sample_rows)
     fitted = sample.select("lang", "h", "text").groupBy("lang").applyInArrow(
         _fit(idf, clusters, quantile), "lang string, centroid binary, least double")
     found = sorted(fitted.collect(), key=lambda r: (r.lang, r.centroid))  # clusters x languages rows
