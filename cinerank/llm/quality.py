@@ -2,9 +2,8 @@
 
 1. *Labellers* vote on every whole text: good (+1), bad (-1) or abstain (0).  There are two
    overlapping families: style labellers (shouting, symbols, symbols for words, stuttering, poor vocabulary,
-   unfinished lines, few short words) for junk, and word-list labellers (a list of insults and two
-   lists of word stems induced from the two halves of a bounded sample of labelled rows) for
-   toxic texts.
+   unfinished lines, few short words) for junk, and stem labellers (word stems that are nearly always
+   toxic in a bounded sample of labelled rows and in each of its two halves) for toxic texts.
 2. The counts of vote patterns over all documents (at most 3^labellers rows) go through
    expectation-maximisation for each family: it estimates the class share and every labeller's
    accuracy without any label, and so the posterior of each pattern.
@@ -28,19 +27,18 @@ from pyspark.sql import functions as F
 from cinerank.llm.text import as_bytes
 
 SLOTS = 1 << 16
-STEM = 4
+STEM = 4  # letters of a scorer's stem
+LIST_STEM = 8  # of a stem in the toxic labellers' lists
 LABEL_ROWS = 16_000
 FIT_ROWS = 12_000
 REJECT_AT = 0.5
 MIN_STEM_ROWS = 3
 MIN_STEM_SHARE = 0.9
-#: Common English insults.
-INSULTS = frozenset("clown disgusting idiot loser moron pathetic scum stupid trash worthless".split())
 SYMBOLS = b"#$%&*|!@^~<>{}[]=_+\\/"
 VARIETY_WORDS = 1000  # the share of distinct words is taken in windows of so many words
 
 STYLE = ("shouting", "symbols", "bare_symbols", "stutter", "variety", "endings", "short_words")
-TOXIC = ("insults", "stems_a", "stems_b")
+TOXIC = ("stems", "stems_a", "stems_b")
 LABELLERS = STYLE + TOXIC
 
 _symbol = np.zeros(256, dtype=np.int64)
@@ -83,29 +81,20 @@ def style_votes(raw: bytes, words: list[str]) -> list[int]:
     ]
 
 
-def stems(words: list[str]) -> set[str]:
-    return {w[:STEM] for w in words}
+def stems(words: list[str], letters: int = STEM) -> set[str]:
+    return {w[:letters] for w in words}
 
 
 @dataclass
 class Lexicons:
-    """The word lists of the toxic labellers."""
+    """The stems of the toxic labellers: of the whole sample and of its halves."""
 
-    halves: tuple[frozenset, frozenset] = (frozenset(), frozenset())
-    insults: frozenset = INSULTS
+    lists: tuple[frozenset, ...] = (frozenset(), frozenset(), frozenset())
 
-    def votes(self, words: list[str], own: set[str]) -> list[int]:
+    def votes(self, words: list[str]) -> list[int]:
         """-1 for a hit; a text of some length without one counts as good."""
-        clear = 1 if len(words) >= 8 else 0
-        hit = any(w.strip(".,;:!?\"'()") in self.insults for w in words if w[:STEM] in self._starts)
-        return [-1 if x else clear for x in (hit, not own.isdisjoint(self.halves[0]), not own.isdisjoint(self.halves[1]))]
-
-    @property
-    def _starts(self) -> frozenset:
-        got = self.__dict__.get("_cached")
-        if got is None:
-            got = self.__dict__["_cached"] = frozenset(w[:STEM] for w in self.insults)
-        return got
+        clear, own = 1 if len(words) >= 8 else 0, stems(words, LIST_STEM)
+        return [clear if own.isdisjoint(x) else -1 for x in self.lists]
 
 
 @dataclass
@@ -144,6 +133,7 @@ class Scorer:
 
     def __init__(self) -> None:
         self.weights = np.zeros(SLOTS + 3 * len(LABELLERS) + 1)
+        self.trained = False
 
     def margins(self, rows: list[np.ndarray]) -> np.ndarray:
         sizes = np.array([len(r) for r in rows])
@@ -156,7 +146,7 @@ class Scorer:
 
     def fit(self, rows: list[np.ndarray], target: np.ndarray, epochs: int = 30, batch: int = 256, rate: float = 0.1,
             decay: float = 2e-4) -> Scorer:
-        rng = np.random.default_rng(11)
+        rng, self.trained = np.random.default_rng(11), len(rows) > 0
         grown = np.full(len(self.weights), 1e-6)
         for _ in range(epochs):
             order = rng.permutation(len(rows))
@@ -197,8 +187,7 @@ def _read(raw: bytes | None) -> tuple[bytes, list[str]]:
 
 def _look(raw: bytes | None, lexicons: Lexicons) -> tuple[list[int], set[str]]:
     raw, words = _read(raw)
-    own = stems(words)
-    return style_votes(raw, words) + lexicons.votes(words, own), own
+    return style_votes(raw, words) + lexicons.votes(words), stems(words)
 
 
 def _each(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
@@ -218,37 +207,60 @@ class QualityModel:
     def posteriors(self, votes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return self.junk.posterior(votes[:, :len(STYLE)]), self.toxic.posterior(votes[:, len(STYLE):])
 
+    def scores(self, looks: list[tuple[list[int], set[str]]], junk: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+        """The scorer's probabilities; the posteriors' where no sample could train it."""
+        if not self.scorer.trained:
+            return 1 - (1 - junk) * (1 - toxic)
+        return self.scorer.probability([_slots(s, v) for v, s in looks])
+
 
-def _sampled(id_col: str, rows: int, total: int, salt: int) -> F.Column:
-    """A condition that holds for about ``rows`` of ``total`` rows, by id hash."""
+def _share(h: F.Column, rows: int, total: int) -> F.Column:
+    """A condition that holds for about ``rows`` of ``total`` hashes."""
     share = min(1.0, rows / max(1, total))
-    return F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(salt)), F.lit(1_000_003)) < int(share * 1_000_003) + 1
+    return F.pmod(h, F.lit(1_000_003)) < int(share * 1_000_003) + 1
+
+
+def sample_texts(rows: DataFrame, at_most: int, total: int, salt: int) -> DataFrame:
+    """``text`` of at most ``at_most`` of the ``total`` rows (id, text), by the hash of id and text.
+
+    Rows that repeat id and text are one, so neither null ids nor one shared by many rows pass the limit.
+    """
+    keyed = rows.withColumn("h", F.xxhash64("id", "text", F.lit(salt)))
+    return keyed.filter(_share(F.col("h"), at_most, total)).groupBy("h").agg(F.first("text").alias("text")) \
+        .orderBy("h").limit(at_most).select("text")
 
 
 def induce_lexicons(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                     label_rows: int = LABEL_ROWS) -> Lexicons:
-    """Stems that are nearly always toxic, in each half of a bounded sample of labelled rows."""
+    """Stems that are nearly always toxic in a bounded sample of labelled rows, and in each half of it.
+
+    Ids with several labels count by the larger; all rows under a labelled id count.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("__id"), F.col("toxic").cast("int").alias("toxic")) \
-        .filter("__id is not null and toxic is not null").dropDuplicates(["__id"])
+        .filter("__id is not null and toxic is not null").groupBy("__id").agg(F.max("toxic").alias("toxic"))
     total = known.count()
-    some = known.filter(_sampled("__id", label_rows, total, 1)).withColumn("half", F.pmod(F.xxhash64("__id"), F.lit(2)))
+    some = known.filter(_share(F.xxhash64("__id", F.lit(1)), label_rows, total)).orderBy(F.xxhash64("__id", F.lit(1))) \
+        .limit(label_rows).withColumn("half", F.pmod(F.xxhash64("__id"), F.lit(2)))
     texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("text"))
-    own = texts.join(F.broadcast(some), "__id").select("text", "toxic", "half")  # about label_rows rows of 16 bytes
+    own = texts.join(F.broadcast(some), "__id").select("text", "toxic", "half")  # label_rows rows of 16 bytes
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, raw in _each(batches, 0):
-            found = [sorted(stems(_read(t)[1])) for t in raw]
+            found = [sorted(stems(_read(t)[1], LIST_STEM)) for t in raw]
             sizes = [len(x) for x in found]
             at = pa.array(np.repeat(np.arange(len(sizes)), sizes))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([s for x in found for s in x], pa.string()), b.column(1).take(at), b.column(2).take(at)],
                 names=["stem", "toxic", "half"])
 
-    rated = own.mapInArrow(words, "stem string, toxic int, half long").groupBy("stem", "half") \
-        .agg(F.sum("toxic").alias("hit"), F.count(F.lit(1)).alias("n")) \
-        .filter((F.col("hit") >= MIN_STEM_ROWS) & (F.col("hit") >= MIN_STEM_SHARE * F.col("n")))
-    picked = rated.collect()  # stems frequent among label_rows texts
-    return Lexicons(tuple(frozenset(r.stem for r in picked if r.half == h) for h in (0, 1)))
+    half = lambda h, c: F.sum(F.when(F.col("half") == h, c).otherwise(F.lit(0)))
+    rated = own.mapInArrow(words, "stem string, toxic int, half long").groupBy("stem").agg(
+        F.sum("toxic").alias("hit"), F.count(F.lit(1)).alias("n"), half(0, F.col("toxic")).alias("hit0"),
+        half(0, F.lit(1)).alias("n0"), half(1, F.col("toxic")).alias("hit1"), half(1, F.lit(1)).alias("n1"))
+    toxic = [(F.col(h) >= MIN_STEM_ROWS) & (F.col(h) >= MIN_STEM_SHARE * F.col(n)) for h, n in (("hit", "n"), ("hit0", "n0"), ("hit1", "n1"))]
+    picked = rated.select("stem", F.array(*toxic).alias("lists")).filter(F.array_contains("lists", True)) \
+        .collect()  # stems frequent among label_rows texts
+    return Lexicons(tuple(frozenset(r.stem for r in picked if r.lists[k]) for k in range(3)))
 
 
 def train(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str = "doc_id", text_col: str = "text",
@@ -285,8 +297,8 @@ def train(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str = "do
                  pa.array([_slots(s, v) for v, s in looks], pa.list_(pa.int32()))],
                 names=["votes", "slots"])
 
-    sample = rows.filter(_sampled("id", fit_rows, int(counts.sum()), 2)).select("text") \
-        .mapInArrow(features, "votes array<int>, slots array<int>").toPandas()  # about fit_rows rows
+    sample = sample_texts(rows, fit_rows, int(counts.sum()), 2) \
+        .mapInArrow(features, "votes array<int>, slots array<int>").toPandas()  # at most fit_rows rows
     if len(sample):
         junk, toxic = model.posteriors(np.stack(sample["votes"].to_numpy()).astype(np.int64))
         target = 1 - (1 - junk) * (1 - toxic)
@@ -301,7 +313,8 @@ def classify(docs: DataFrame, model: QualityModel, *, id_col: str = "doc_id", te
     ``p_junk`` and ``p_toxic`` are the weak-label posteriors, ``score`` is the trained scorer's
     probability that the text should go, ``kept`` is score < ``reject_at``.  Null and wordless
     texts have one bad vote (no finished line) and are rated by it alone; repeated rows give one
-    row each; an empty table none; other columns are not read.
+    row each, null and shared ids change nothing; an empty table gives none; other columns are not read.
+    A scorer without a sample (all rows alike) leaves the score to the posteriors.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -311,7 +324,7 @@ def classify(docs: DataFrame, model: QualityModel, *, id_col: str = "doc_id", te
             looks = [_look(t, own.lexicons) for t in raw]
             votes = np.array([v for v, _ in looks], dtype=np.int64).reshape(-1, len(LABELLERS))
             junk, toxic = own.posteriors(votes)
-            score = own.scorer.probability([_slots(s, v) for v, s in looks])
+            score = own.scores(looks, junk, toxic)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([v for v, _ in looks], pa.list_(pa.int32())), pa.array(junk), pa.array(toxic),
                  pa.array(score), pa.array(score < reject_at)],
@@ -331,7 +344,8 @@ def keep_good(docs: DataFrame, model: QualityModel, *, text_col: str = "text", r
         own = shared.value
         for b, raw in _each(batches, at):
             looks = [_look(t, own.lexicons) for t in raw]
-            score = own.scorer.probability([_slots(s, v) for v, s in looks])
+            votes = np.array([v for v, _ in looks], dtype=np.int64).reshape(-1, len(LABELLERS))
+            score = own.scores(looks, *own.posteriors(votes))
             yield b.filter(pa.array(score < reject_at))
 
     plain = docs.toDF(*keys)

@@ -1,0 +1,129 @@
+"""Registered queries against brute force on the given tables, held-out accuracy, null and shared ids."""
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from cinerank.llm import ann, langid, lm, quality
+from cinerank.llm import licenses as S
+from cinerank.llm.queries import QUERIES
+from tests.llm import test_ann, test_licenses, test_lm, test_near_dup
+from tests.llm.conftest import prose
+from tests.llm.test_text import words_of
+
+SF = "/root/testdata/sf0.001"
+SF_LARGER = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+
+
+def test_op1_columns(spark, texts):
+    got = {r.doc_id: r for r in QUERIES["op1_license_scan"](spark, SF).collect()}
+    assert len(got) == len(texts)
+    for i, t in texts:
+        n, base, found = test_licenses.brute(t)
+        r = got[i]
+        starts, labels = [s for s, _ in base], {label for _, label in base}
+        assert (r.n_words, r.n_base, r.base_labels) == (n, len(base), ",".join(sorted(labels)))
+        assert (r.first_word, r.last_word) == ((min(starts), max(starts)) if base else (None, None))
+        assert r.labels == ",".join(sorted(labels | {label for label, _, _ in found}))
+        assert r.score == (1.0 if base else max([x for _, _, x in found], default=0.0))
+    assert S.PHRASES[0][0] and any(r.n_base for r in got.values())
+
+
+def test_op2_columns(spark, texts):
+    tokens = {i: words_of(t or "", "space") + [None] for i, t in texts}
+    c = Counter(w for i, ws in tokens.items() if test_lm.role(i) != 2 for w in ws)
+    n, v = sum(c.values()), len(c)
+    rows = QUERIES["op2_lm_score"](spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ws = tokens[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (test_lm.role(r.doc_id) == 2, len(ws), sum(c[w] > 0 for w in ws), n)
+        assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws), rel=1e-9)
+        assert r.score < 0
+    known = [r for r in rows if not r.held_out]
+    assert sum(r.score for r in known) > sum(r.base_score for r in known)  # pairs help
+    assert lm.HELD_OUT == 2
+
+
+def test_op5_columns(spark, texts):
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in QUERIES["op5_minhash_near_dedup"](spark, SF).collect()), key=repr)
+    assert got == test_near_dup.brute(texts, 2)
+    assert any(r[0] != r[2] for r in got)
+
+
+def test_op7_columns_and_recall(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF_LARGER}/embeddings.parquet").collect()]
+    got = QUERIES["op7_nearest_vectors"](spark, SF_LARGER).collect()
+    assert test_ann.recall(got, test_ann.brute(rows, ann.K)) >= 0.9
+    x = {i: np.array(v, dtype=np.float32).astype(float) for i, v in rows}
+    for q in {r.query_id for r in got}:
+        own = sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)
+        assert [r.rank for r in own] == list(range(1, min(ann.K, len(rows) - 1) + 1)) and q not in {r.vec_id for r in own}
+        assert [(-r.score, r.vec_id) for r in own] == sorted((-r.score, r.vec_id) for r in own)
+        assert all(r.score == float((x[q] * x[r.vec_id]).sum()) for r in own)
+
+
+def test_op4_on_labelled_rows(spark):
+    rows = QUERIES["op4_quality_classifier"](spark, SF_LARGER).join(spark.read.parquet(f"{SF_LARGER}/labels.parquet"), "doc_id").collect()
+    clean = [r.kept for r in rows if r.quality == 1 and r.toxic == 0]
+    junk = [r.kept for r in rows if r.quality == 0]
+    toxic = [r.kept for r in rows if r.toxic == 1]
+    assert np.mean(clean) > 0.98 and np.mean(junk) < 0.05 and np.mean(toxic) < 0.35
+
+
+def test_op6_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF_LARGER}/documents.parquet")
+    rows = QUERIES["op6_language_id"](spark, SF_LARGER).join(docs.select("doc_id", "lang", "text"), "doc_id").collect()
+    assert all(r.held_out == (test_lm.zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    out = [r for r in rows if r.held_out and r.lang is not None and any(c.isalpha() for c in r.text or "")]
+    assert len(out) > 100 and np.mean([r.lang_pred == r.lang for r in out]) > 0.97
+
+
+@pytest.mark.parametrize("ids", ["null", "shared"])
+def test_samples_are_bounded_whatever_the_ids(spark, ids):
+    rng = random.Random(21)
+    rows = [(None if ids == "null" else 7, prose(rng, 30).capitalize() + ".") for _ in range(600)] + [(None, "the same row.")] * 300
+    df = spark.createDataFrame(rows, "id long, text string")
+    some = quality.sample_texts(df, 100, 900, 2).collect()
+    assert 0 < len(some) <= 100 and len({r.text for r in some}) == len(some)
+    assert quality.sample_texts(df, 5, 900, 2).count() <= 5
+
+
+@pytest.mark.parametrize("shared", [None, 5])
+def test_classifier_judges_null_and_shared_ids_by_their_texts(spark, shared):
+    rng = random.Random(22)
+    good = ["\n".join(prose(rng, 15).capitalize() + "." for _ in range(4)) for _ in range(200)]
+    junk = [" ".join(["$$ || ##"] * 60) + f" {i}" for i in range(40)]
+    docs = spark.createDataFrame([(shared, t) for t in good + junk], "doc_id long, text string")
+    for fit_rows in (50, 5):
+        model = quality.train(docs, fit_rows=fit_rows)
+        kept = {r.text for r in quality.keep_good(docs, model).collect()}
+        assert not kept & set(junk) and len(kept & set(good)) > 0.95 * len(good)
+
+
+def test_untrained_scorer_leaves_it_to_the_posteriors(spark):
+    model = quality.QualityModel(quality.Lexicons(), quality.LabelModel(0.1, np.tile([[0.5, 0.02]], (len(quality.STYLE), 1))),
+                                 quality.LabelModel(0.1, np.tile([[0.5, 0.02]], (len(quality.TOXIC), 1))), quality.Scorer())
+    docs = spark.createDataFrame([(1, "A good line ends here, and so it is.\n" * 5), (2, "$$ || ## " * 50)], "doc_id long, text string")
+    got = {r.doc_id: r for r in quality.classify(docs, model).collect()}
+    assert got[1].kept and not got[2].kept
+    assert all(r.score == pytest.approx(1 - (1 - r.p_junk) * (1 - r.p_toxic)) for r in got.values())
+
+
+@pytest.mark.parametrize("shared", [None, 5])
+def test_language_model_from_null_and_shared_ids(spark, shared):
+    rng = random.Random(24)
+    syll = {"aa": ["ka", "mo", "ri"], "bb": ["sch", "ein", "ung"]}
+    rows = [(shared, " ".join("".join(rng.choice(syll[lang]) for _ in range(3)) for _ in range(20)), lang) for lang in ["aa", "bb"] * 300]
+    docs = spark.createDataFrame(rows + [(shared, "ka ka mo", "aa")] * 500, "doc_id long, text string, lang string")
+    model = langid.train(docs, sample_rows=40)
+    got = langid.identify(docs, model).groupBy("lang_pred").count().collect()
+    assert {r.lang_pred: r["count"] for r in got} == {"aa": 800, "bb": 300}
