@@ -15,9 +15,11 @@ from cinerank.functions.genres import TEST_VIEW_GENRES, multi_hot
 from cinerank.functions.vectors import dense_cosine
 from cinerank.operators import prep
 from cinerank.operators.content import item_genres, item_signatures
+from cinerank.operators.indexing import dense_index
 from cinerank.operators.item_based import item_based_scores
 from cinerank.operators.neighbors import item_norms, pair_dots, pair_similarities
 from cinerank.operators.rank import flat_view, nested_view, rated_catalog_items, seen_pairs
+from cinerank.operators.seen import seen_blocks, unseen_counts
 from cinerank.plans.pipeline import Recommender, run_all
 from cinerank.session import materialize
 from cinerank.sources.testdata import catalog_view, ratings_view
@@ -128,13 +130,13 @@ def q_seen_pairs(spark, sf_dir):
 
 
 def q_unseen_counts(spark, sf_dir):
-    """Unseen rated catalog items per user, counted without a user x item product."""
+    """Unseen rated catalog items per user, from the users' seen blocks over item positions."""
     r = _prepared(spark, sf_dir)
     items = rated_catalog_items(r, catalog_view(spark, sf_dir))
     total = items.select(F.count(F.lit(1))).scalar()
-    seen_in = seen_pairs(r).join(items, "movieId", "left_semi").groupBy("userId").agg(F.count(F.lit(1)).alias("s"))
-    users = r.select("userId").distinct().join(seen_in, "userId", "left")
-    return users.select("userId", (total - F.coalesce("s", F.lit(0))).alias("n_unseen"))
+    index = dense_index(items, "movieId").withColumn("pos", F.col("pos") - 1)
+    blocks = seen_blocks(seen_pairs(r).join(index, "movieId").select("userId", "pos"))
+    return unseen_counts(r.select("userId").distinct(), blocks, total)
 
 
 def q_item_based_scores(spark, sf_dir):

@@ -64,11 +64,36 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Tables in the session's catalog over bucketed files, per application, for `cleanup`.
+_TABLES: dict[str, list[str]] = {}
+
+
+def materialize_by(df: DataFrame, name: str, key: str, buckets: int | None = None) -> DataFrame:
+    """``materialize``, with the files bucketed and sorted by ``key``.
+
+    Joins, aggregations and windows by the key read them without an exchange.  The files lie under
+    the checkpoint folder; the session's catalog only holds their bucketing.  ``buckets`` defaults
+    to the session's shuffle partitions; one task writes each bucket.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tag = uuid.uuid4().hex
+    path, table = f"{checkpoint_root(spark)}/cinerank/{name}-{tag}", f"cinerank_{name}_{tag}"
+    app = spark.sparkContext.applicationId
+    _WRITTEN.setdefault(app, []).append(path)
+    _TABLES.setdefault(app, []).append(table)
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(table))
+    return spark.table(table)
+
+
 def cleanup(spark: SparkSession) -> int:
-    """Delete the tables this application wrote with ``materialize``; returns how many.
+    """Delete the tables this application wrote with ``materialize`` and ``materialize_by``; returns how many.
 
     Call it once the results built on them have been written or collected.
     """
+    for table in _TABLES.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
