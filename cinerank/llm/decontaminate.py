@@ -26,22 +26,28 @@ from cinerank.llm.text import as_bytes, hash_words
 from cinerank.session import materialize
 
 WINDOW = 13
-SHARD_WORDS = 3_000_000
+SHARD_WORDS = 1_000_000  # a shard's arrays take about 100 bytes a word
 SCHEMA = ("row_key long, doc_id long, n_words long, n_hit long, spans array<long>, items array<string>, "
           "longest_match long, longest_start long")
 
 
 def suffix_array(words: np.ndarray, depth: int) -> np.ndarray:
-    """Positions of ``words`` (uint64, 0 ends a text) sorted by their next ``depth`` words at least."""
+    """Positions of ``words`` (uint64, 0 ends a text) sorted by their next ``depth`` words at least.
+
+    Positions and ranks are 32-bit numbers where the words are fewer than 2^31.
+    """
     n = len(words)
-    order = np.argsort(words, kind="stable")
+    whole = np.int32 if n < (1 << 31) - 1 else np.int64
+    order = np.argsort(words, kind="stable").astype(whole)
     ranked = words[order]
     new = np.ones(n, dtype=bool)
     new[1:] = ranked[1:] != ranked[:-1]
     if n and ranked[0] == 0:
         new[: np.searchsorted(ranked, 1)] = True  # text ends need no order among themselves
-    head = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    rank = np.zeros(n + 1, dtype=np.int64)
+    del ranked
+    places = np.arange(n, dtype=whole)
+    head = np.maximum.accumulate(np.where(new, places, whole(0)))
+    rank = np.zeros(n + 1, dtype=whole)
     rank[order] = head + 1
     step = 1
     while step < depth:
@@ -51,13 +57,13 @@ def suffix_array(words: np.ndarray, depth: int) -> np.ndarray:
         if not len(at):
             break
         pos = order[at]
-        key = (rank[pos].astype(np.uint64) << np.uint64(32)) | rank[np.minimum(pos + step, n)].astype(np.uint64)
+        key = (rank[pos].astype(np.uint64) << np.uint64(32)) | rank[np.minimum(pos + whole(step), whole(n))].astype(np.uint64)
         by = np.argsort(key, kind="stable")
         order[at] = pos[by]
         key = key[by]
         new[at[1:]] = key[1:] != key[:-1]
         new[at[0]] = True
-        head = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        head = np.maximum.accumulate(np.where(new, places, whole(0)))
         rank[order[at]] = head[at] + 1
         step *= 2
     return order
