@@ -32,8 +32,8 @@ LIST_STEM = 8  # of a stem in the toxic labellers' lists
 LABEL_ROWS = 16_000
 FIT_ROWS = 12_000
 REJECT_AT = 0.5
-MIN_STEM_ROWS = 3
-MIN_STEM_SHARE = 0.9
+MIN_STEM_ROWS, MIN_HALF_ROWS = 6, 4
+MIN_STEM_SHARE = 0.98
 SYMBOLS = b"#$%&*|!@^~<>{}[]=_+\\/"
 VARIETY_WORDS = 1000  # the share of distinct words is taken in windows of so many words
 
@@ -146,7 +146,8 @@ class Scorer:
 
     def fit(self, rows: list[np.ndarray], target: np.ndarray, epochs: int = 30, batch: int = 256, rate: float = 0.1,
             decay: float = 2e-4) -> Scorer:
-        rng, self.trained = np.random.default_rng(11), len(rows) > 0
+        rng = np.random.default_rng(11)
+        self.trained = bool((target >= 0.5).any() and (target < 0.5).any())  # one class alone teaches nothing
         grown = np.full(len(self.weights), 1e-6)
         for _ in range(epochs):
             order = rng.permutation(len(rows))
@@ -257,7 +258,8 @@ def induce_lexicons(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id
     rated = own.mapInArrow(words, "stem string, toxic int, half long").groupBy("stem").agg(
         F.sum("toxic").alias("hit"), F.count(F.lit(1)).alias("n"), half(0, F.col("toxic")).alias("hit0"),
         half(0, F.lit(1)).alias("n0"), half(1, F.col("toxic")).alias("hit1"), half(1, F.lit(1)).alias("n1"))
-    toxic = [(F.col(h) >= MIN_STEM_ROWS) & (F.col(h) >= MIN_STEM_SHARE * F.col(n)) for h, n in (("hit", "n"), ("hit0", "n0"), ("hit1", "n1"))]
+    toxic = [(F.col(h) >= least) & (F.col(h) >= MIN_STEM_SHARE * F.col(n))
+             for h, n, least in (("hit", "n", MIN_STEM_ROWS), ("hit0", "n0", MIN_HALF_ROWS), ("hit1", "n1", MIN_HALF_ROWS))]
     picked = rated.select("stem", F.array(*toxic).alias("lists")).filter(F.array_contains("lists", True)) \
         .collect()  # stems frequent among label_rows texts
     return Lexicons(tuple(frozenset(r.stem for r in picked if r.lists[k]) for k in range(3)))
@@ -314,7 +316,7 @@ def classify(docs: DataFrame, model: QualityModel, *, id_col: str = "doc_id", te
     probability that the text should go, ``kept`` is score < ``reject_at``.  Null and wordless
     texts have one bad vote (no finished line) and are rated by it alone; repeated rows give one
     row each, null and shared ids change nothing; an empty table gives none; other columns are not read.
-    A scorer without a sample (all rows alike) leaves the score to the posteriors.
+    A scorer whose sample is empty or of one class leaves the score to the posteriors.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
