@@ -141,3 +141,28 @@ def test_scores_with_one_id_in_most_ratings_and_no_broadcast(frames, monkeypatch
     assert sorted(map(tuple, item_based_scores(r, nb, False, part_rows=10).collect())) == want
     monkeypatch.setattr(joins, "BROADCAST_BYTE_LIMIT", 0)
     assert sorted(map(tuple, item_based_scores(r, nb, part_rows=10).collect())) == want
+
+
+def test_prepared_ratings_are_read_by_user_without_an_exchange(frames):
+    rows = ratings(7, 60, 40, 9)
+    r, c = frames(rows, catalog_of(40))
+    rec = Recommender(r, c, prepared=True, k=5, vocabulary=("A",))
+    plain = Recommender(r, c, prepared=True, k=5, vocabulary=("A",), cut_lineage=False)
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(userId")
+    counts = rec.ratings.groupBy("userId").count()
+    assert exchanges(counts) == 0 and exchanges(plain.ratings.groupBy("userId").count()) > 0
+    scores = item_based_scores(rec.ratings, rec.neighbors, True, clustered=rec.clustered)
+    assert exchanges(scores) == 0
+    want = item_based_scores(plain.ratings, plain.neighbors, True)
+    assert exchanges(want) > 0
+    assert sorted(map(tuple, scores.collect())) == sorted(map(tuple, want.collect()))
+    assert sorted(map(tuple, rec.ratings.collect())) == sorted(map(tuple, r.collect()))
+
+
+def test_cleanup_drops_bucketed_tables(spark):
+    from cinerank.session import _TABLES, cleanup, materialize_by
+    cleanup(spark)
+    df = materialize_by(spark.range(20).withColumnRenamed("id", "userId"), "probe", "userId", 3)
+    assert df.count() == 20
+    table = _TABLES[spark.sparkContext.applicationId][0]
+    assert cleanup(spark) == 1 and not spark.catalog.tableExists(table)
