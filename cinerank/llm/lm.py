@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from cinerank.llm.text import as_bytes, hash_words, mix, pack_sorted, unpack_sorted
 from cinerank.session import materialize
 
-CHUNK_BYTES = 4 << 20
-FAN = 256  # hash ranges that one chunk or group sends to, and chunks or groups that meet in one
+CHUNK_BYTES = 3 << 20
+FAN = 512  # hash ranges that one chunk or group sends to, and chunks or groups that meet in one
 RANGE_BYTES = 2 << 20  # of keys that a last range merges, about
 CONTEXT_BUCKETS = 24
 BINS = 50  # histogram bins per decade
@@ -181,12 +181,20 @@ ANSWER_SCHEMA = "unit string, range long, totals binary, slices binary, tokens l
 
 def _merged(sent: pa.Table) -> tuple[list[dict], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(rows, first key of each row, place of every row's keys among the merged ones, merged keys, totals, slices)."""
-    rows = sent.to_pylist()
-    keys = [unpack_sorted(r["keys"]) for r in rows]
+    rows = sent.select(["unit", "range"]).to_pylist()
+    keys = [unpack_sorted(raw.as_py()) for raw in sent.column("keys")]
+    first = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
     every, at = np.unique(np.concatenate(keys), return_inverse=True)
-    add = lambda name: np.bincount(
-        at, np.concatenate([_from_planes(r[name]) for r in rows]).astype(np.int64), len(every)).astype(np.int64)
-    return rows, np.concatenate([[0], np.cumsum([len(k) for k in keys])]), at, every, add("totals"), add("slices")
+    del keys
+    at = at.astype(np.int32 if len(every) < 1 << 31 else np.int64)
+
+    def add(name: str) -> np.ndarray:
+        total = np.zeros(len(every), dtype=np.int64)
+        for i, raw in enumerate(sent.column(name)):
+            total[at[first[i]:first[i + 1]]] += _from_planes(raw.as_py()).astype(np.int64)  # a row's keys differ
+        return total
+
+    return rows, first, at, every, add("totals"), add("slices")
 
 
 def _replies(rows: list[dict], first: np.ndarray, at: np.ndarray, every: np.ndarray, total: np.ndarray, part: np.ndarray,
