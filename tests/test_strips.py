@@ -1,0 +1,64 @@
+"""Packed lists of strips: every pair's sum, no pair shuffled, few bytes an entry."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cinerank.operators import neighbors, packing
+from tests.test_pruning import catalog_of, ratings
+
+
+def dots_of(rows):
+    lists, out = {}, {}
+    for u, m, r, _ in rows:
+        lists.setdefault(u, []).append((m, r))
+    for own in lists.values():
+        for a, ra in own:
+            for b, rb in own:
+                if a <= b:
+                    out[a, b] = out.get((a, b), 0) + ra * rb
+    return out
+
+
+@pytest.mark.parametrize("span,halves", [(200, True), (1 << 33, False)])
+def test_packed_columns_come_back(span, halves):
+    rng = np.random.default_rng(1)
+    code = packing.codec(-5, span - 6, halves)
+    ids, r = rng.integers(-5, span - 5, 1000), rng.integers(0, 11, 1000) / (2 if halves else 7)
+    got = packing.unpack(packing.pack([code.ids(ids), code.ratings(r)]), [code.id_type, code.rating_type])
+    assert (code.decoded(got[0]) == ids).all() and (got[1] * code.step == r).all()
+    key = rng.integers(0, 50, 1000)
+    for top in (50, 1 << 62):
+        order, ordered = packing.sort_order(key, top)
+        assert (order == np.argsort(key, kind="stable")).all() and (ordered == key[order]).all()
+
+
+def test_extreme_ids_keep_a_code_each():
+    code = packing.codec(-(1 << 63), (1 << 63) - 1, False)
+    ids = np.array([-(1 << 63), -1, 0, (1 << 63) - 1])
+    assert (code.decoded(code.ids(ids)) == ids).all() and len(set(code.ids(ids).tolist())) == 4
+
+
+@pytest.mark.parametrize("strip_pairs,block,shift", [(10**9, 1024, 0), (60, 7, 0), (300, 5, 1 << 40)])
+def test_pair_sums_equal_the_python_statement(frames, strip_pairs, block, shift):
+    rows = ratings(4, 30, 20, 6)
+    rows = [(u, m + shift * (m % 3), r, t) for u, m, r, t in rows] + [rows[0], (2, 21, 1.25, 0)]  # a row twice, a rating between half steps
+    r, _ = frames(rows, catalog_of(3))
+    got = {(x.i, x.j): x.dot for x in neighbors.pair_dots(r, block, True, strip_pairs).collect()}
+    assert got == dots_of(rows)
+    norm = {i: v for (i, j), v in got.items() if i == j} if len({(u, m) for u, m, *_ in rows}) == len(rows) else {}
+    for u, m, x, _ in rows if not norm else ():
+        norm[m] = norm.get(m, 0) + x * x
+    for x in neighbors.pair_similarities(r, block, True, strip_pairs).collect():
+        den = norm[x.i] ** 0.5 * norm[x.j] ** 0.5
+        assert x.sim == (got[x.i, x.j] / den if den else 0)
+
+
+def test_pairs_are_not_shuffled_and_lists_are_small(frames):
+    rows = ratings(2, 400, 300, 60, hot_user=False)
+    r, c = frames(rows, catalog_of(300))
+    plan = neighbors.pair_similarities(r)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(i" not in plan and "hashpartitioning(j" not in plan and "MapInArrow" in plan
+    facts = neighbors._item_facts(r, c)
+    lists = neighbors.strip_lists(r, facts, 10**6, 1024, True)
+    assert lists.agg(F.sum(F.length("lists"))).first()[0] < 8 * len(rows)
