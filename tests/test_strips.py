@@ -62,3 +62,25 @@ def test_pairs_are_not_shuffled_and_lists_are_small(frames):
     facts = neighbors._item_facts(r, c)
     lists = neighbors.strip_lists(r, facts, 10**6, 1024, True)
     assert lists.agg(F.sum(F.length("lists"))).first()[0] < 8 * len(rows)
+
+
+@pytest.mark.parametrize("strip_rows", [10**6, 40])
+def test_cells_equal_the_broadcast_plan(frames, monkeypatch, strip_rows):
+    """No side is broadcast: all scores and the four methods of one run are those of the broadcast plan, without contributions in a shuffle."""
+    from cinerank.operators import item_based, joins, scoring
+    from cinerank.plans.pipeline import run_all
+    rows = ratings(8, 40, 30, 7, hot_item=0.9)
+    catalog = [(m, f"t{m}", "|".join(g for k, g in enumerate("ABC") if m >> k & 1) or "A") for m in range(1, 31)]
+    r, c = frames(rows, catalog)
+    nb = neighbors.item_neighbors(r, c, k=4)
+    scores = sorted(map(tuple, item_based.item_based_scores(r, nb, True).collect()))
+    want = sorted(map(tuple, run_all(r, c, 5, 4, ("A", "B", "C"), ("item_based", "hybrid"), prepared=True).collect()))
+    monkeypatch.setattr(joins, "BROADCAST_BYTE_LIMIT", 0)
+    monkeypatch.setattr(scoring, "CHUNK_ROWS", strip_rows)
+    got = item_based.item_based_scores(r, nb, False, part_rows=strip_rows)
+    assert "hashpartitioning(movieId" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == scores
+    monkeypatch.setattr(scoring.cell_tops, "__defaults__", (None, (0, 0), strip_rows))
+    shared = sorted(map(tuple, run_all(r, c, 5, 4, ("A", "B", "C"), ("item_based", "hybrid"), prepared=True).collect()))
+    alone = sorted(map(tuple, run_all(r, c, 5, 4, ("A", "B", "C"), ("item_based", "hybrid"), prepared=True, share_item_scores=False).collect()))
+    assert shared == want and alone == want
