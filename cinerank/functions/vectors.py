@@ -10,15 +10,20 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def dense_cosine(a, b) -> Column:
+def squared_norm(a) -> Column:
+    return F.aggregate(_c(a), F.lit(0.0), lambda acc, x: acc + x * x)
+
+
+def dense_cosine(a, b, na=None, nb=None) -> Column:
     """Cosine of two equal-length DOUBLE arrays.
 
-    Unequal lengths fail the job; a zero denominator returns the numerator (0).
+    Unequal lengths fail the job; a zero denominator returns the numerator (0).  ``na``, ``nb``: the arrays'
+    ``squared_norm``, where rows of many pairs carry them.
     """
     a, b = _c(a), _c(b)
     num = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
-    na = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x * x)
-    nb = F.aggregate(b, F.lit(0.0), lambda acc, x: acc + x * x)
+    na = squared_norm(a) if na is None else _c(na)
+    nb = squared_norm(b) if nb is None else _c(nb)
     den = F.sqrt(na) * F.sqrt(nb)
     value = F.when(den == 0, num).otherwise(num / den)
     return F.when(F.size(a) != F.size(b),
